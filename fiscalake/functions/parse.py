@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,11 +29,12 @@ _ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 
 
 def exact_month_number(col: Column) -> Column:
-    """Month number of an untrimmed name; NULL when the text is not exactly a name."""
-    pairs = [(name, number) for number, name in enumerate(MONTH_NAMES, start=1)]
-    first, *rest = pairs
-    start = F.when(col == first[0], F.lit(first[1]))
-    return reduce(lambda case, pair: case.when(col == pair[0], F.lit(pair[1])), rest, start)
+    """Month number of an untrimmed name; NULL when the text is not exactly a name.
+
+    A constant map evaluates its argument once, unlike a chain of comparisons.
+    """
+    pairs = [F.lit(v) for n, name in enumerate(MONTH_NAMES, start=1) for v in (name, n)]
+    return F.try_element_at(F.create_map(*pairs), col)
 
 
 def month_number(col: Column) -> Column:

@@ -22,7 +22,11 @@ from fiscalake.functions.keys import (
     subclass_hash,
 )
 from fiscalake.operators.dimensions import with_supplier_key
-from fiscalake.operators.occurrences import COPIES_PER_TASK, number_copies
+from fiscalake.operators.occurrences import (
+    COPIES_PER_TASK,
+    number_copies,
+    number_copies_in_place,
+)
 
 
 @dataclass(frozen=True)
@@ -111,6 +115,17 @@ def fct_expense(silver: DataFrame, dims: ExpenseDimensions | None = None) -> Dat
     )
 
 
+_REVENUE_FINGERPRINT = (
+    "municipio_sk",
+    "orgao_sk",
+    "tempo_sk",
+    "fonte_recurso_sk",
+    "aplicacao_sk",
+    "alinea_sk",
+    "subalinea_sk",
+    "vl_arrecadacao",
+)
+
 _REVENUE_CONTENT = (
     "municipio",
     "exercicio",
@@ -124,28 +139,6 @@ _REVENUE_CONTENT = (
 )
 
 
-def _counted_content(silver: DataFrame) -> DataFrame:
-    """Distinct revenue contents with their row count and first occurrence number.
-
-    The fingerprint holds the year only through the period key, which a missing
-    month makes NULL: contents that differ in year alone then share a fingerprint
-    and are numbered one after the other, by year. Filters on ``mes`` reach the
-    scan, so that rare branch reads only row groups with a NULL month.
-    """
-    counts = silver.groupBy(*_REVENUE_CONTENT).agg(F.count(F.lit(1)).alias("copies"))
-    dated = counts.where(F.col("mes").isNotNull()).withColumn("first", F.lit(1).cast("bigint"))
-    others = [name for name in _REVENUE_CONTENT if name != "exercicio"]
-    earlier = (
-        Window.partitionBy(*others)
-        .orderBy("exercicio")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    undated = counts.where(F.col("mes").isNull()).withColumn(
-        "first", F.coalesce(F.sum("copies").over(earlier), F.lit(0)) + 1
-    )
-    return dated.unionByName(undated)
-
-
 def _with_revenue_keys(rows: DataFrame, dims: RevenueDimensions | None) -> DataFrame:
     texts = ("ds_fonte_recurso", "ds_cd_aplicacao_fixo", "ds_alinea")
     keys = ("fonte_recurso_sk", "aplicacao_sk", "alinea_sk")
@@ -170,6 +163,21 @@ def _with_revenue_keys(rows: DataFrame, dims: RevenueDimensions | None) -> DataF
     )
 
 
+def _keyed_contents(rows: DataFrame, dims: RevenueDimensions | None) -> DataFrame:
+    """Distinct revenue contents with row count, keys and fingerprint.
+
+    Keys are hashed or joined per content: copies cost nothing.
+    """
+    counted = rows.groupBy(*_REVENUE_CONTENT).agg(F.count(F.lit(1)).alias("copies"))
+    return (
+        _with_revenue_keys(counted, dims)
+        .withColumn("tempo_sk", period_key(F.col("exercicio"), F.col("mes")))
+        .withColumn(
+            "receita_fingerprint", hash_key(*[F.col(name) for name in _REVENUE_FINGERPRINT])
+        )
+    )
+
+
 def fct_revenue(
     silver: DataFrame,
     dims: RevenueDimensions | None = None,
@@ -177,45 +185,32 @@ def fct_revenue(
 ) -> DataFrame:
     """One row per revenue occurrence; identical ones are kept and numbered.
 
-    One shuffle of the distinct contents. Keys are hashed once per content.
+    The one shuffle moves distinct contents and their counts, not rows.
+
+    The fingerprint holds the year only through the period key, which a missing
+    month makes NULL: contents that differ in year alone then share a fingerprint
+    and are numbered one after the other, by year. The filters on ``mes`` reach the
+    scan, so that branch reads only row groups with a NULL month.
     """
-    keyed = _with_revenue_keys(_counted_content(silver), dims).select(
-        "municipio_sk",
-        "orgao_sk",
-        period_key(F.col("exercicio"), F.col("mes")).alias("tempo_sk"),
-        "fonte_recurso_sk",
-        "aplicacao_sk",
-        "alinea_sk",
-        "subalinea_sk",
-        "exercicio",
-        "mes",
-        "vl_arrecadacao",
-        F.col("orgao").alias("nm_orgao_origem"),
-        "ds_fonte_recurso",
-        "ds_cd_aplicacao_fixo",
-        "ds_alinea",
-        "ds_subalinea",
+    month = F.col("mes")
+    dated = number_copies(
+        _keyed_contents(silver.where(month.isNotNull()), dims),
         "copies",
-        "first",
+        "nr_ocorrencia",
+        copies_per_task=copies_per_task,
     )
-    fingerprint = hash_key(
-        *[
-            F.col(name)
-            for name in (
-                "municipio_sk",
-                "orgao_sk",
-                "tempo_sk",
-                "fonte_recurso_sk",
-                "aplicacao_sk",
-                "alinea_sk",
-                "subalinea_sk",
-                "vl_arrecadacao",
-            )
-        ]
+    earlier = (
+        Window.partitionBy("receita_fingerprint")
+        .orderBy("exercicio")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    contents = keyed.withColumn("receita_fingerprint", fingerprint)
-    numbered = number_copies(
-        contents, "copies", "nr_ocorrencia", F.col("first"), copies_per_task
+    undated = _keyed_contents(silver.where(month.isNull()), dims).withColumn(
+        "first", F.coalesce(F.sum("copies").over(earlier), F.lit(0)) + 1
+    )
+    numbered = dated.unionByName(
+        number_copies_in_place(
+            undated, "copies", "nr_ocorrencia", F.col("first"), copies_per_task
+        ).drop("first")
     )
     return numbered.select(
         hash_key(F.col("receita_fingerprint"), F.col("nr_ocorrencia")).alias("receita_sk"),
@@ -231,7 +226,7 @@ def fct_revenue(
         "exercicio",
         "mes",
         "vl_arrecadacao",
-        "nm_orgao_origem",
+        F.col("orgao").alias("nm_orgao_origem"),
         "ds_fonte_recurso",
         "ds_cd_aplicacao_fixo",
         "ds_alinea",

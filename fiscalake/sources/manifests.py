@@ -122,14 +122,12 @@ def _first_reason(*reasons: tuple[Column, Column | str]) -> Column:
 
 
 def _shape_reasons(keys: Sequence[str]) -> list[tuple[Column, Column | str]]:
-    line = F.col("text")
-    missing = F.array_sort(
-        F.array_except(F.array(*[F.lit(k) for k in keys]), F.json_object_keys(line))
-    )
+    found = F.col("p.keys")
+    missing = F.array_sort(F.array_except(F.array(*[F.lit(k) for k in keys]), found))
     return [
-        (line == "", "blank line"),
-        (F.try_parse_json(line).isNull(), "invalid JSON"),
-        (F.json_object_keys(line).isNull(), "not a JSON object"),
+        (F.col("p.text") == "", "blank line"),
+        (~F.col("p.is_json"), "invalid JSON"),
+        (found.isNull(), "not a JSON object"),
         (F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ", "))),
     ]
 
@@ -144,13 +142,28 @@ def _bad_status(statuses: Sequence[str]) -> tuple[Column, Column]:
 
 def _unparsed(raw: str, parsed: Column) -> Column:
     """Filled text that did not convert."""
-    return F.coalesce(F.col(raw), F.lit("")).__ne__("") & parsed.isNull()
+    return (F.coalesce(F.col(raw), F.lit("")) != "") & parsed.isNull()
 
 
 def _split(lines: DataFrame, record: str, reason: Column, typed: Sequence[Column]) -> ParsedRuns:
-    text = F.regexp_replace("line", r"^\s+|\s+$", "")
-    parsed = lines.withColumn("text", text).withColumn("r", F.from_json("text", record))
-    judged = parsed.withColumn("reason", reason)
+    """Parse each line once and sort it into runs and rejects.
+
+    The one-element explode keeps the parsed line a value of its own: the optimizer
+    would otherwise repeat the parsing for every condition that looks at it.
+    """
+    text = F.col("text")
+    parsed = F.struct(
+        text,
+        F.try_parse_json(text).isNotNull().alias("is_json"),
+        F.json_object_keys(text).alias("keys"),
+        F.from_json(text, record).alias("r"),
+    )
+    judged = (
+        lines.select("line_number", F.regexp_replace("line", r"^\s+|\s+$", "").alias("text"))
+        .select("line_number", F.explode(F.array(parsed)).alias("p"))
+        .select("line_number", "p", F.col("p.r").alias("r"))
+        .withColumn("reason", reason)
+    )
     return ParsedRuns(
         runs=judged.where(F.col("reason").isNull()).select(
             *typed, F.col("line_number").cast("bigint").alias("manifest_line_number")
