@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from fiscalake.operators.quality import (
     RESULT_COLUMNS,
     WARNING,
     Relationship,
+    Rule,
     TableTests,
     count_as_check,
     duplicate_groups,
@@ -25,6 +28,8 @@ _MUNICIPALITY = Relationship("municipio_sk", "dim_municipio", "municipio_sk")
 _ORGANISATION = Relationship("orgao_sk", "dim_orgao", "orgao_sk")
 _CALENDAR = Relationship("tempo_sk", "dim_tempo", "tempo_sk")
 
+_PATH_CONSISTENCY = Rule("partition_consistency", "mes", partition_mismatch)
+
 _EXPENSE_TEXTS = ("orgao", "evento", "nr_empenho", "id_fornecedor", "nm_fornecedor")
 _REVENUE_TEXTS = ("ds_fonte_recurso", "ds_cd_aplicacao_fixo", "ds_alinea")
 
@@ -41,6 +46,7 @@ DECLARED_TESTS = {
             SOURCE_PATH,
         ),
         accepted={"mes": MONTHS, "evento": EXPENSE_EVENTS},
+        rules=(_PATH_CONSISTENCY,),
     ),
     "stg_receitas": TableTests(
         not_null=(
@@ -53,6 +59,7 @@ DECLARED_TESTS = {
             SOURCE_PATH,
         ),
         accepted={"mes": MONTHS},
+        rules=(_PATH_CONSISTENCY,),
     ),
     "dim_municipio": TableTests(
         not_null=("municipio_sk", "municipio", "nm_municipio", "uf"),
@@ -153,15 +160,13 @@ def _as_result(check: DataFrame, table: str) -> DataFrame:
 
 
 def cross_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """Path consistency, duplicates and reconciliation; duplicate revenues only warn."""
+    """Duplicates and reconciliation; duplicate revenues only warn."""
     expenses, revenues = tables["stg_despesas"], tables["stg_receitas"]
     expense_groups = duplicate_groups(expenses, list(EXPENSE_CONTRACT.duplicate_columns))
     revenue_groups = duplicate_groups(revenues, list(REVENUE_CONTRACT.duplicate_columns))
     expense_gap = reconcile_expenses(expenses, tables["fct_despesas"])
     revenue_gap = reconcile_revenues(revenues, tables["fct_receitas"], tables["dim_municipio"])
     found = [
-        ("stg_despesas", expenses.where(partition_mismatch()), "partition_consistency", ERROR),
-        ("stg_receitas", revenues.where(partition_mismatch()), "partition_consistency", ERROR),
         ("stg_despesas", expense_groups, "exact_duplicates", ERROR),
         ("stg_receitas", revenue_groups, "potential_exact_duplicates", WARNING),
         ("fct_despesas", expense_gap, "reconciles_with_silver", ERROR),
@@ -176,10 +181,7 @@ def cross_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
 def run_all_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, check, column, severity, failures) for every declared and cross check."""
     parts = [run_table_tests(name, tables, tests) for name, tests in DECLARED_TESTS.items()]
-    result, *rest = [*parts, *cross_checks(tables)]
-    for part in rest:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.union, [*parts, *cross_checks(tables)])
 
 
 def failed_checks(results: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalake.functions.text import is_blank
+from fiscalake.functions.parse import br_date, br_decimal, month_number
+from fiscalake.functions.text import is_blank, is_filled
 from fiscalake.operators import contracts, indicators, profile, quality, reconcile, runs
 from fiscalake.operators import dimensions as D
 from fiscalake.operators import facts as FC
@@ -314,15 +315,16 @@ def dq_accepted(spark, sf):
 )
 def dq_invalid(spark, sf):
     """Text that is there but does not convert, and blanks, on raw records."""
-    from fiscalake.functions.parse import br_date, br_decimal, month_number
-    from fiscalake.functions.text import is_filled
-
     value, day = F.col("vl_despesa"), F.col("dt_emissao_despesa")
     rules = [
-        quality.Rule("valid_month", "mes", month_number(F.col("mes")).isNull()),
-        quality.Rule("valid_value", "vl_despesa", is_filled(value) & br_decimal(value).isNull()),
-        quality.Rule("valid_date", "dt_emissao_despesa", is_filled(day) & br_date(day).isNull()),
-        quality.Rule("not_blank", "orgao", is_blank(F.col("orgao"))),
+        quality.Rule("valid_month", "mes", lambda: month_number(F.col("mes")).isNull()),
+        quality.Rule(
+            "valid_value", "vl_despesa", lambda: is_filled(value) & br_decimal(value).isNull()
+        ),
+        quality.Rule(
+            "valid_date", "dt_emissao_despesa", lambda: is_filled(day) & br_date(day).isNull()
+        ),
+        quality.Rule("not_blank", "orgao", lambda: is_blank(F.col("orgao"))),
     ]
     return quality.count_failures(
         S.defective_expense_records(S.table(spark, sf, "orders")), rules
