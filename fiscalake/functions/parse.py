@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fiscalake.functions.text import trim_spaces
+from fiscalake.functions.text import strip_separators, trim_spaces
 
 # Month names as the source writes them, in calendar order.
 MONTH_NAMES = (
@@ -38,7 +38,7 @@ def exact_month_number(col: Column) -> Column:
 
 
 def month_number(col: Column) -> Column:
-    return exact_month_number(trim_spaces(col))
+    return exact_month_number(strip_separators(col))
 
 
 def month_name(col: Column) -> Column:
@@ -47,7 +47,8 @@ def month_name(col: Column) -> Column:
 
 def br_decimal(col: Column) -> Column:
     """``1.234,56`` to DECIMAL(18,2): dots dropped, comma becomes the decimal point."""
-    return F.translate(trim_spaces(col), ",.", ".").try_cast(MONEY_TYPE)
+    plain = F.replace(trim_spaces(col), F.lit("."), F.lit(""))
+    return F.replace(plain, F.lit(","), F.lit(".")).try_cast(MONEY_TYPE)
 
 
 def br_date(col: Column) -> Column:

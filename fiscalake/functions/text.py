@@ -17,13 +17,20 @@ CODE_SEPARATOR = " - "
 CODE_PREFIX_PATTERN = "^[^-]+ - "
 
 
+def strip_separators(col: Column) -> Column:
+    """Strip every Unicode space separator from both ends."""
+    return F.btrim(col, F.lit(SPACE_SEPARATORS))
+
+
 def trim_spaces(col: Column) -> Column:
-    """Strip every Unicode space separator from both ends.
+    """As ``strip_separators``, fast for ASCII; meant for plain columns.
 
-    Plain ``trim`` strips U+0020 only; a character set keeps this a native
-    string operation, cheaper than a regular expression per cell.
+    Text of as many bytes as characters is ASCII, where U+0020 is the only separator
+    and the plain trim, several times faster, does the same. The argument is
+    evaluated more than once.
     """
-    return F.btrim(col, F.lit(SPACE_SEPARATORS))
+    is_ascii = F.length(col) == F.octet_length(col)
+    return F.when(is_ascii, F.trim(col)).otherwise(strip_separators(col))
 
 
 def is_blank(col: Column) -> Column:

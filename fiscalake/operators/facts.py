@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalake.functions.keys import (
@@ -22,11 +22,7 @@ from fiscalake.functions.keys import (
     subclass_hash,
 )
 from fiscalake.operators.dimensions import with_supplier_key
-from fiscalake.operators.occurrences import (
-    COPIES_PER_TASK,
-    number_copies,
-    number_copies_in_place,
-)
+from fiscalake.operators.occurrences import COPIES_PER_TASK, number_copies
 
 
 @dataclass(frozen=True)
@@ -126,6 +122,8 @@ _REVENUE_FINGERPRINT = (
     "vl_arrecadacao",
 )
 
+_REVENUE_TEXTS = ("ds_fonte_recurso", "ds_cd_aplicacao_fixo", "ds_alinea")
+
 _REVENUE_CONTENT = (
     "municipio",
     "exercicio",
@@ -140,11 +138,9 @@ _REVENUE_CONTENT = (
 
 
 def _with_revenue_keys(rows: DataFrame, dims: RevenueDimensions | None) -> DataFrame:
-    texts = ("ds_fonte_recurso", "ds_cd_aplicacao_fixo", "ds_alinea")
-    keys = ("fonte_recurso_sk", "aplicacao_sk", "alinea_sk")
+    texts, keys = _REVENUE_TEXTS, ("fonte_recurso_sk", "aplicacao_sk", "alinea_sk")
     if dims is None:
-        present = rows.where(_all_present("municipio", "orgao", *texts))
-        return present.withColumns(
+        return rows.where("complete").withColumns(
             {
                 "municipio_sk": hash_key(F.col("municipio")),
                 "orgao_sk": organisation_hash(F.col("municipio"), F.col("orgao")),
@@ -168,9 +164,17 @@ def _keyed_contents(rows: DataFrame, dims: RevenueDimensions | None) -> DataFram
 
     Keys are hashed or joined per content: copies cost nothing.
     """
-    counted = rows.groupBy(*_REVENUE_CONTENT).agg(F.count(F.lit(1)).alias("copies"))
+    counted = rows.groupBy(*_REVENUE_CONTENT).agg(
+        F.count(F.lit(1)).alias("copies"),
+        # Aggregated, although these judge grouping columns: a filter on the columns
+        # themselves would move below the shuffle, where it would split the shuffle in
+        # two and repeat the parsing of columns that are not stored yet.
+        F.max(F.col("mes").isNull()).alias("undated"),
+        F.max(_all_present("municipio", "orgao", *_REVENUE_TEXTS)).alias("complete"),
+    )
     return (
         _with_revenue_keys(counted, dims)
+        .drop("complete")
         .withColumn("tempo_sk", period_key(F.col("exercicio"), F.col("mes")))
         .withColumn(
             "receita_fingerprint", hash_key(*[F.col(name) for name in _REVENUE_FINGERPRINT])
@@ -189,29 +193,17 @@ def fct_revenue(
 
     The fingerprint holds the year only through the period key, which a missing
     month makes NULL: contents that differ in year alone then share a fingerprint
-    and are numbered one after the other, by year. The filters on ``mes`` reach the
-    scan, so that branch reads only row groups with a NULL month.
+    and are numbered one after the other, by year.
     """
-    month = F.col("mes")
-    dated = number_copies(
-        _keyed_contents(silver.where(month.isNotNull()), dims),
-        "copies",
-        "nr_ocorrencia",
+    numbered = number_copies(
+        _keyed_contents(silver, dims),
+        copies="copies",
+        number="nr_ocorrencia",
+        key="receita_fingerprint",
+        shared="undated",
+        order="exercicio",
         copies_per_task=copies_per_task,
     )
-    earlier = (
-        Window.partitionBy("receita_fingerprint")
-        .orderBy("exercicio")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    undated = _keyed_contents(silver.where(month.isNull()), dims).withColumn(
-        "first", F.coalesce(F.sum("copies").over(earlier), F.lit(0)) + 1
-    )
-    numbered = dated.unionByName(
-        number_copies_in_place(
-            undated, "copies", "nr_ocorrencia", F.col("first"), copies_per_task
-        ).drop("first")
-    )
     return numbered.select(
         hash_key(F.col("receita_fingerprint"), F.col("nr_ocorrencia")).alias("receita_sk"),
         "receita_fingerprint",

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from fiscalake.functions.parse import br_date, br_decimal, month_number
 from fiscalake.functions.paths import path_municipality, path_year
-from fiscalake.functions.text import blank_to_null, trim_spaces
+from fiscalake.functions.text import blank_to_null, strip_separators, trim_spaces
 from fiscalake.sources.schemas import SOURCE_PATH
 
 
 def _partition_columns():
     path = F.col(SOURCE_PATH)
     return [
-        trim_spaces(path_municipality(path)).alias("municipio"),
+        strip_separators(path_municipality(path)).alias("municipio"),
         path_year(path).alias("exercicio"),
         month_number(F.col("mes")).alias("mes"),
     ]
@@ -28,7 +28,7 @@ def silver_expenses(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         *_partition_columns(),
         *_trimmed("orgao", "evento", "nr_empenho", "id_fornecedor", "nm_fornecedor"),
-        br_date(trim_spaces(F.col("dt_emissao_despesa"))).alias("dt_emissao_despesa"),
+        br_date(strip_separators(F.col("dt_emissao_despesa"))).alias("dt_emissao_despesa"),
         br_decimal(F.col("vl_despesa")).alias("vl_despesa"),
         SOURCE_PATH,
     )

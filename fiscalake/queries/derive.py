@@ -36,6 +36,15 @@ def snapshot_path(dataset: str, municipality: Column, year: Column, month: Colum
     )
 
 
+def _as_parsed(records: DataFrame) -> DataFrame:
+    """Records leave a generator, as they do when a snapshot's JSON is parsed.
+
+    Filters of the models then see plain columns, as they would on real snapshots,
+    instead of being evaluated on the expressions that derive the records.
+    """
+    return records.select(F.inline(F.array(F.struct(*records.columns))))
+
+
 def br_money_text(amount: Column) -> Column:
     """DECIMAL(18,2) as Brazilian text with thousand separators."""
     return F.translate(F.format_number(amount.cast("decimal(18,2)"), 2), ",.", ".,")
@@ -56,7 +65,7 @@ def expense_records(orders: DataFrame) -> DataFrame:
     )
     number = F.when(customer % 6 == 1, customer % 50).otherwise(customer)
     money = br_money_text(F.col("o_totalprice"))
-    return orders.select(
+    records = orders.select(
         "o_orderkey",
         municipality.alias("municipio"),
         year.alias("exercicio"),
@@ -78,6 +87,7 @@ def expense_records(orders: DataFrame) -> DataFrame:
         F.when(key % 11 == 0, _text("-", money)).otherwise(money).alias("vl_despesa"),
         snapshot_path("despesas", municipality, year, month, STAMP).alias("arquivo_origem"),
     )
+    return _as_parsed(records)
 
 
 def defective_expense_records(orders: DataFrame) -> DataFrame:
@@ -88,24 +98,21 @@ def defective_expense_records(orders: DataFrame) -> DataFrame:
         return F.when(key % every == 0, F.lit(value)).otherwise(F.col(column))
 
     other_month = F.regexp_replace("arquivo_origem", "mes=[0-9]{2}", "mes=13")
-    return (
-        expense_records(orders)
-        .withColumns(
-            {
-                "mes": planted("mes", 97, "Marco"),
-                "vl_despesa": planted("vl_despesa", 101, "abc"),
-                "dt_emissao_despesa": planted("dt_emissao_despesa", 103, "30/02/1999"),
-                "evento": planted("evento", 89, "Outro evento"),
-                "orgao": planted("orgao", 83, "  "),
-                "id_fornecedor": planted("id_fornecedor", 79, None),
-                "nm_fornecedor": planted("nm_fornecedor", 71, None),
-                "arquivo_origem": F.when(key % 73 == 0, other_month).otherwise(
-                    F.col("arquivo_origem")
-                ),
-            }
-        )
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(key % 29 == 0, 2).otherwise(1))))
-        .drop("_copy")
+    defective = expense_records(orders).withColumns(
+        {
+            "mes": planted("mes", 97, "Marco"),
+            "vl_despesa": planted("vl_despesa", 101, "abc"),
+            "dt_emissao_despesa": planted("dt_emissao_despesa", 103, "30/02/1999"),
+            "evento": planted("evento", 89, "Outro evento"),
+            "orgao": planted("orgao", 83, "  "),
+            "id_fornecedor": planted("id_fornecedor", 79, None),
+            "nm_fornecedor": planted("nm_fornecedor", 71, None),
+            "arquivo_origem": F.when(key % 73 == 0, other_month).otherwise(F.col("arquivo_origem")),
+        }
+    )
+    record = F.struct(*defective.columns)
+    return defective.select(
+        F.inline(F.array_repeat(record, F.when(key % 29 == 0, 2).otherwise(1)))
     )
 
 
@@ -114,7 +121,7 @@ def revenue_records(lineitem: DataFrame) -> DataFrame:
     year, month = F.year("l_shipdate"), F.month("l_shipdate")
     municipality = _text("m", F.col("l_suppkey") % 3)
     line, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
-    return lineitem.select(
+    records = lineitem.select(
         municipality.alias("municipio"),
         year.alias("exercicio"),
         month.alias("mes_particao"),
@@ -134,6 +141,7 @@ def revenue_records(lineitem: DataFrame) -> DataFrame:
         br_money_text(F.col("l_quantity")).alias("vl_arrecadacao"),
         snapshot_path("receitas", municipality, year, month, STAMP).alias("arquivo_origem"),
     )
+    return _as_parsed(records)
 
 
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:

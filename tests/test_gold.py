@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fiscalake.operators import dimensions as D
 from fiscalake.operators import facts as FC
-from fiscalake.operators.occurrences import number_copies, number_copies_in_place
+from fiscalake.operators.occurrences import number_copies
 from fiscalake.operators.reconcile import reconcile_expenses, reconcile_revenues
 
 EXPENSE = (
@@ -249,21 +249,26 @@ def test_a_source_text_like_the_missing_member_does_not_multiply_rows(frames):
 def test_numbering_is_complete_for_a_dominant_group(spark, copies_per_task):
     groups = spark.createDataFrame([("hot", 500), ("cold", 1), ("warm", 8)], "k string, n long")
     want = {("hot", i) for i in range(1, 501)} | {("cold", 1)} | {("warm", i) for i in range(1, 9)}
-    for df in (
-        number_copies(groups, "n", "i", copies_per_task=copies_per_task),
-        number_copies_in_place(groups, "n", "i", F.lit(1), copies_per_task),
-    ):
-        rows = [tuple(r) for r in df.collect()]
-        assert len(rows) == len(want) and set(rows) == want
+    numbered = number_copies(groups, "n", "i", "k", copies_per_task=copies_per_task)
+    rows = [tuple(r) for r in numbered.collect()]
+    assert len(rows) == len(want) and set(rows) == want
 
 
 def test_a_dominant_group_is_written_by_several_tasks(spark):
     groups = spark.createDataFrame([("hot", 4000)], "k string, n long")
-    spread = number_copies(groups, "n", "i", copies_per_task=100)
+    spread = number_copies(groups, "n", "i", "k", copies_per_task=100)
     tasks = spread.groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < 4000
 
 
+def test_copies_are_counted_in_one_scan_and_one_shuffle(frames):
+    _, rev = frames([], [{}] * 3)
+    df = FC.fct_revenue(rev)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("partial_count") == 1
+
+
 def test_reconciliation(frames):
     exp, rev = frames(
         [{}, {"evento": "Valor Pago"}, {"evento": None}], [{}, {}, {"municipio": "itu"}]
