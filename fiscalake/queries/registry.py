@@ -14,7 +14,7 @@ from fiscalake.operators import dimensions as D
 from fiscalake.operators import facts as FC
 from fiscalake.operators import periods
 from fiscalake.plans import lake, publish
-from fiscalake.plans.checks import run_all_checks
+from fiscalake.plans.checks import DECLARED_TESTS, run_all_checks
 from fiscalake.plans.silver import silver_expenses
 from fiscalake.queries import derive as S
 from fiscalake.queries.oracle import _EVENTS, _money, _month, rows, sql
@@ -433,7 +433,89 @@ def dq_contract(spark, sf):
     return contracts.check_contract(S.defective_expenses(spark, sf), _CONTRACT)
 
 
-@_query(None)
+# Table -> building block of the SQL side.
+_BLOCKS = {
+    "stg_despesas": "stg_exp",
+    "stg_receitas": "stg_rev",
+    "dim_municipio": "d_mun",
+    "dim_orgao": "d_org",
+    "dim_tempo": "d_cal",
+    "dim_fornecedor": "d_sup",
+    "dim_fonte_recurso": "d_src",
+    "dim_aplicacao": "d_app",
+    "dim_alinea": "d_cls",
+    "dim_subalinea": "d_sub",
+    "fct_despesas": "f_exp",
+    "fct_receitas": "f_rev",
+}
+
+
+def _check_sql(table: str, check: str, column: str, severity: str, failures: str) -> str:
+    return (
+        f"select '{table}' as \"table\", '{check}' as \"check\", '{column}' as \"column\", "
+        f"'{severity}' as severity, {failures} as failures"
+    )
+
+
+def _declared_checks_sql(table: str) -> list[str]:
+    tests, block = DECLARED_TESTS[table], _BLOCKS[table]
+    conditions = [("not_null", c, f"{c} is null") for c in tests.not_null]
+    for c, values in tests.accepted.items():
+        listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+        conditions.append(("accepted_values", c, f"{c} not in ({listed})"))
+    if tests.rules:
+        conditions.append(("partition_consistency", "mes", _BAD_PATH))
+    found = [
+        _check_sql(table, check, c, "error", f"count(*) filter ({test})") + f" from {block}"
+        for check, c, test in conditions
+    ]
+    for c in tests.unique:
+        repeated = f"select 1 from {block} where {c} is not null group by {c} having count(*) > 1"
+        found.append(_check_sql(table, "unique", c, "error", "count(*)") + f" from ({repeated})")
+    for rel in tests.relationships:
+        orphaned = (
+            f"select 1 from {block} c where c.{rel.column} is not null and not exists "
+            f"(select 1 from {_BLOCKS[rel.parent]} p where p.{rel.parent_column} = c.{rel.column})"
+        )
+        found.append(
+            _check_sql(table, "relationships", rel.column, "error", "count(*)")
+            + f" from ({orphaned})"
+        )
+    return found
+
+
+def _all_checks_sql() -> str:
+    found = [part for table in DECLARED_TESTS for part in _declared_checks_sql(table)]
+    for table, contract in (
+        ("stg_despesas", contracts.EXPENSE_CONTRACT),
+        ("stg_receitas", contracts.REVENUE_CONTRACT),
+    ):
+        check, severity = contract.duplicate_rule
+        content = ", ".join(contract.duplicate_columns)
+        repeated = f"select 1 from {_BLOCKS[table]} group by {content} having count(*) > 1"
+        found.append(_check_sql(table, check, "*", severity, "count(*)") + f" from ({repeated})")
+    for table, silver, fact, keys, amount in (
+        ("fct_despesas", "stg_exp", "f_exp", "evento", "vl_despesa"),
+        (
+            "fct_receitas",
+            "stg_rev",
+            "(f_rev join d_mun using (municipio_sk))",
+            "municipio, exercicio, mes",
+            "vl_arrecadacao",
+        ),
+    ):
+        gaps = (
+            f"select {keys}, count(*), sum({amount}) from {silver} group by all except "
+            f"select {keys}, count(*), sum({amount}) from {fact} group by all"
+        )
+        found.append(
+            _check_sql(table, "reconciles_with_silver", "*", "error", "count(*)")
+            + f" from ({gaps})"
+        )
+    return sql(" union all ".join(found), *_BLOCKS.values())
+
+
+@_query(_all_checks_sql())
 def dq_all_checks(spark, sf):
     """Every declared and cross check over all tables built from the given ones."""
     exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
