@@ -36,11 +36,12 @@ def snapshot_path(dataset: str, municipality: Column, year: Column, month: Colum
     )
 
 
-def _as_parsed(records: DataFrame) -> DataFrame:
+def as_parsed(records: DataFrame) -> DataFrame:
     """Records leave a generator, as they do when a snapshot's JSON is parsed.
 
-    Filters of the models then see plain columns, as they would on real snapshots,
-    instead of being evaluated on the expressions that derive the records.
+    Filters of a model that reads whole records then see plain columns, as they would
+    on real snapshots, instead of being evaluated on the expressions that derive the
+    records. Models that read few columns are better off without: it ends pruning.
     """
     return records.select(F.inline(F.array(F.struct(*records.columns))))
 
@@ -87,7 +88,7 @@ def expense_records(orders: DataFrame) -> DataFrame:
         F.when(key % 11 == 0, _text("-", money)).otherwise(money).alias("vl_despesa"),
         snapshot_path("despesas", municipality, year, month, STAMP).alias("arquivo_origem"),
     )
-    return _as_parsed(records)
+    return records
 
 
 def defective_expense_records(orders: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def defective_expense_records(orders: DataFrame) -> DataFrame:
         return F.when(key % every == 0, F.lit(value)).otherwise(F.col(column))
 
     other_month = F.regexp_replace("arquivo_origem", "mes=[0-9]{2}", "mes=13")
-    defective = expense_records(orders).withColumns(
+    defective = as_parsed(expense_records(orders)).withColumns(
         {
             "mes": planted("mes", 97, "Marco"),
             "vl_despesa": planted("vl_despesa", 101, "abc"),
@@ -141,19 +142,22 @@ def revenue_records(lineitem: DataFrame) -> DataFrame:
         br_money_text(F.col("l_quantity")).alias("vl_arrecadacao"),
         snapshot_path("receitas", municipality, year, month, STAMP).alias("arquivo_origem"),
     )
-    return _as_parsed(records)
+    return records
 
 
-def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_expenses(expense_records(table(spark, sf_dir, "orders")))
+def expenses(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Silver expenses; ``whole`` for models that read whole records."""
+    records = expense_records(table(spark, sf_dir, "orders"))
+    return silver_expenses(as_parsed(records) if whole else records)
 
 
 def defective_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_expenses(defective_expense_records(table(spark, sf_dir, "orders")))
 
 
-def revenues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_revenues(revenue_records(table(spark, sf_dir, "lineitem")))
+def revenues(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    records = revenue_records(table(spark, sf_dir, "lineitem"))
+    return silver_revenues(as_parsed(records) if whole else records)
 
 
 def _event_stamp(pattern: str) -> Column:

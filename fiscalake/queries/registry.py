@@ -186,13 +186,13 @@ def _revenue_dims(exp: DataFrame, rev: DataFrame) -> FC.RevenueDimensions:
 
 @_query(rows("f_exp"))
 def fct_expense(spark, sf):
-    return FC.fct_expense(S.expenses(spark, sf))
+    return FC.fct_expense(S.expenses(spark, sf, whole=True))
 
 
 @_query(rows("f_exp"))
 def fct_expense_joined(spark, sf):
     exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
-    return FC.fct_expense(exp, _expense_dims(exp, rev))
+    return FC.fct_expense(S.expenses(spark, sf, whole=True), _expense_dims(exp, rev))
 
 
 @_query(rows("f_bad"))
@@ -202,13 +202,13 @@ def fct_expense_with_defects(spark, sf):
 
 @_query(rows("f_rev"))
 def fct_revenue(spark, sf):
-    return FC.fct_revenue(S.revenues(spark, sf))
+    return FC.fct_revenue(S.revenues(spark, sf, whole=True))
 
 
 @_query(rows("f_rev"))
 def fct_revenue_joined(spark, sf):
     exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
-    return FC.fct_revenue(rev, _revenue_dims(exp, rev))
+    return FC.fct_revenue(S.revenues(spark, sf, whole=True), _revenue_dims(exp, rev))
 
 
 # ---- quality ---------------------------------------------------------------------
@@ -256,9 +256,8 @@ def recon_revenue(spark, sf):
     """The fact misses one source's rows of one year; Silver holds all of them."""
     exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
     gap = (F.col("exercicio") == 1997) & (F.col("ds_fonte_recurso") == "05 - FEDERAL")
-    found = reconcile.reconcile_revenues(
-        rev, FC.fct_revenue(rev).where(~gap), D.dim_municipality(exp, rev)
-    )
+    fact = FC.fct_revenue(S.revenues(spark, sf, whole=True)).where(~gap)
+    found = reconcile.reconcile_revenues(rev, fact, D.dim_municipality(exp, rev))
     return _decimals(found, "valor_silver", "valor_gold")
 
 
@@ -772,7 +771,9 @@ def publish_counts(spark, sf):
 def exec_monthly_balance(spark, sf):
     exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
     found = indicators.monthly_balance(
-        FC.fct_expense(exp), FC.fct_revenue(rev), D.dim_municipality(exp, rev)
+        FC.fct_expense(S.expenses(spark, sf, whole=True)),
+        FC.fct_revenue(S.revenues(spark, sf, whole=True)),
+        D.dim_municipality(exp, rev),
     )
     return _decimals(found, "receita", "despesa", "saldo", "saldo_acumulado")
 
@@ -787,7 +788,8 @@ def exec_monthly_balance(spark, sf):
 )
 def exec_by_organisation(spark, sf):
     exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
-    found = indicators.expense_by_organisation(FC.fct_expense(exp), D.dim_organisation(exp, rev))
+    fact = FC.fct_expense(S.expenses(spark, sf, whole=True))
+    found = indicators.expense_by_organisation(fact, D.dim_organisation(exp, rev))
     return _decimals(found, "valor")
 
 
@@ -802,8 +804,8 @@ def exec_by_organisation(spark, sf):
     )
 )
 def exec_top_entities(spark, sf):
-    exp = S.expenses(spark, sf)
-    found = indicators.expense_by_supplier(FC.fct_expense(exp), D.dim_supplier(exp))
+    fact = FC.fct_expense(S.expenses(spark, sf, whole=True))
+    found = indicators.expense_by_supplier(fact, D.dim_supplier(S.expenses(spark, sf)))
     return _decimals(found, "valor").orderBy(F.desc("valor"), "fornecedor_bk")
 
 
@@ -817,8 +819,8 @@ def exec_top_entities(spark, sf):
     )
 )
 def exec_revenue_by_source(spark, sf):
-    rev = S.revenues(spark, sf)
-    found = indicators.revenue_by_source(FC.fct_revenue(rev), D.dim_source(rev))
+    fact = FC.fct_revenue(S.revenues(spark, sf, whole=True))
+    found = indicators.revenue_by_source(fact, D.dim_source(S.revenues(spark, sf)))
     return _decimals(found, "valor")
 
 
@@ -831,7 +833,7 @@ def exec_revenue_by_source(spark, sf):
 )
 def expense_by_event_and_month(spark, sf):
     """The flagship question: records to Silver to fact, totals per event and month."""
-    found = indicators.event_totals(FC.fct_expense(S.expenses(spark, sf)), "tempo_sk")
+    found = indicators.event_totals(FC.fct_expense(S.expenses(spark, sf, whole=True)), "tempo_sk")
     return _decimals(found, "valor")
 
 
