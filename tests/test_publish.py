@@ -1,7 +1,10 @@
+import json
 from datetime import date
 
 import pytest
 from conftest import expense, revenue
+from pyspark.errors import PySparkException
+from test_runs import _full_run, run
 
 from fiscalake.operators import indicators
 from fiscalake.plans import lake, publish
@@ -35,7 +38,7 @@ def test_a_failure_keeps_the_old_version(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "serving")
     publish.publish(spark, {"t": frame(spark, "old")}, root)
     missing = spark.range(1).selectExpr("raise_error('gone') as description")
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException):
         publish.publish(spark, {"t": frame(spark, "new"), "u": missing}, root)
     assert publish.read_published(spark, root, "t").first().description == "old"
 
@@ -74,15 +77,17 @@ def test_build_and_publish_end_to_end(spark, land_file, tmp_path):
     land_file(REVENUES, 2021, 2, "20210201T100000Z", [revenue()] * 3)
     built = lake.build(spark, land_file.root, str(tmp_path / "lake"), date(2021, 6, 1))
     runs = str(tmp_path / "runs")
-    from test_runs import _full_run
-
     landing.append_full_runs(_full_run(spark), runs)
+    ingestion = tmp_path / "ingestion.jsonl"
+    ingestion.write_text(f"{json.dumps(run())}\n{json.dumps(run(status='empty'))}\n")
     root = str(tmp_path / "serving")
-    counts = publish.publish_lake(built, root, full_run_manifest=runs)
+    counts = publish.publish_lake(built, root, str(ingestion), runs)
+    published = publish.read_published(spark, root, "ops.ingestion_runs")
+    assert dict(published.dtypes)["completed_at_utc"] == "timestamp"
     assert counts == {
         "dim_municipio": 1, "dim_orgao": 1, "dim_tempo": 6, "dim_fornecedor": 1,
         "dim_fonte_recurso": 1, "dim_aplicacao": 1, "dim_alinea": 1, "dim_subalinea": 2,
-        "fct_despesas": 3, "fct_receitas": 3, "ops.pipeline_runs": 1,
+        "fct_despesas": 3, "fct_receitas": 3, "ops.ingestion_runs": 2, "ops.pipeline_runs": 1,
     }
     exp, rev = built.read("fct_despesas"), built.read("fct_receitas")
     places = built.read("dim_municipio")

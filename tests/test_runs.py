@@ -1,6 +1,7 @@
 import hashlib
 import json
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from conftest import revenue
@@ -183,7 +184,7 @@ def test_landing_writes_a_manifest_row_per_snapshot(spark, tmp_path):
     for r in rows:
         folder = r.output_path.removeprefix("file:")
         assert folder.endswith(f"snapshot={stamp}")
-        (part,) = list(__import__("pathlib").Path(folder).glob("part-*"))
+        (part,) = list(Path(folder).glob("part-*"))
         assert r.sha256 == hashlib.sha256(part.read_bytes()).hexdigest()
         assert r.content_length_bytes == part.stat().st_size
         assert r.duration_seconds >= 0
