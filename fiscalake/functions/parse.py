@@ -25,7 +25,7 @@ MONTH_NAMES = (
 
 MONEY_TYPE = "decimal(18,2)"
 
-_ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
+ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 
 
 def exact_month_number(col: Column) -> Column:
@@ -56,7 +56,7 @@ def br_date(col: Column) -> Column:
 
     Surrounding ASCII whitespace is ignored. Years must have four digits.
     """
-    text = F.btrim(col, F.lit(_ASCII_WHITESPACE))
+    text = F.btrim(col, F.lit(ASCII_WHITESPACE))
     shaped = F.when(text.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), text)
     return F.try_to_date(shaped, "d/M/yyyy")
 

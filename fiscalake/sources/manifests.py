@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fiscalake.functions.parse import iso_timestamp, seconds_between
+from fiscalake.functions.parse import ASCII_WHITESPACE, iso_timestamp, seconds_between
 from fiscalake.session import use_checkpoints
 
 # Statuses and the keys every line must have.
@@ -126,7 +126,8 @@ def _shape_reasons(keys: Sequence[str]) -> list[tuple[Column, Column | str]]:
     missing = F.array_sort(F.array_except(F.array(*[F.lit(k) for k in keys]), found))
     return [
         (F.col("p.text") == "", "blank line"),
-        (~F.col("p.is_json"), "invalid JSON"),
+        # Parsed in full only where the line has no keys.
+        (found.isNull() & F.try_parse_json(F.col("p.text")).isNull(), "invalid JSON"),
         (found.isNull(), "not a JSON object"),
         (F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ", "))),
     ]
@@ -154,12 +155,11 @@ def _split(lines: DataFrame, record: str, reason: Column, typed: Sequence[Column
     text = F.col("text")
     parsed = F.struct(
         text,
-        F.try_parse_json(text).isNotNull().alias("is_json"),
         F.json_object_keys(text).alias("keys"),
         F.from_json(text, record).alias("r"),
     )
     judged = (
-        lines.select("line_number", F.regexp_replace("line", r"^\s+|\s+$", "").alias("text"))
+        lines.select("line_number", F.btrim("line", F.lit(ASCII_WHITESPACE)).alias("text"))
         .select("line_number", F.explode(F.array(parsed)).alias("p"))
         .select("line_number", "p", F.col("p.r").alias("r"))
         .withColumn("reason", reason)
