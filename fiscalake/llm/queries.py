@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from fiscalake.llm import quality, urls
+from fiscalake.llm import chat, quality, shards, urls
 
 
 def queries():
     return {
         "op3_url_reputation": urls.op3_url_reputation,
+        "op4_snapshot_collapse": chat.op4_snapshot_collapse,
         "op6_rule_ledger": quality.op6_rule_ledger,
+        "op8_sampled_splitters": shards.op8_sampled_splitters,
     }
 
 
 def oracle_sql():
-    return {"op3_url_reputation": urls.OP3_SQL, "op6_rule_ledger": quality.OP6_SQL}
+    return {
+        "op3_url_reputation": urls.OP3_SQL,
+        "op4_snapshot_collapse": chat.OP4_SQL,
+        "op6_rule_ledger": quality.OP6_SQL,
+    }
