@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from fiscalake.llm import chat, quality, shards, urls
+from fiscalake.llm import bpe, chat, decontaminate, quality, shards, urls
 
 
 def queries():
     return {
+        "op2_fm_index": decontaminate.op2_fm_index,
         "op3_url_reputation": urls.op3_url_reputation,
         "op4_snapshot_collapse": chat.op4_snapshot_collapse,
+        "op5_segment_tree": bpe.op5_segment_tree,
         "op6_rule_ledger": quality.op6_rule_ledger,
         "op8_sampled_splitters": shards.op8_sampled_splitters,
     }
@@ -16,6 +18,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op2_fm_index": decontaminate.OP2_SQL,
         "op3_url_reputation": urls.OP3_SQL,
         "op4_snapshot_collapse": chat.OP4_SQL,
         "op6_rule_ledger": quality.OP6_SQL,
