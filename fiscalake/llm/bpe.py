@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -170,6 +171,10 @@ def merge_long(piece: bytes, pairs: PairRanks) -> list[int]:
     return [i for i in ids if i >= 0]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Texts to ids and back; remembers pieces."""
 
@@ -178,7 +183,7 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.ranks = rank_table(content)
         self.pairs = PairRanks(self.ranks)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def _learn(self, pieces: Iterable[str]) -> None:
         by_width: dict[int, list[tuple[str, bytes]]] = {}
@@ -186,16 +191,16 @@ class Encoder:
             raw = piece.encode("utf-8")
             rank = self.ranks.get(raw)
             if rank is not None:
-                self.known[piece] = [rank]
+                self.known[piece] = _packed([rank])
             elif len(raw) > LANE_BYTES:
-                self.known[piece] = merge_long(raw, self.pairs)
+                self.known[piece] = _packed(merge_long(raw, self.pairs))
             else:
                 by_width.setdefault((len(raw) - 1).bit_length(), []).append((piece, raw))
         for group in by_width.values():
             for k in range(0, len(group), 20_000):
                 some = group[k : k + 20_000]
                 for (piece, _), ids in zip(some, merge_lanes([raw for _, raw in some], self.pairs)):
-                    self.known[piece] = ids
+                    self.known[piece] = _packed(ids)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [self.pattern.findall(text) for text in texts]
@@ -205,10 +210,7 @@ class Encoder:
         self._learn(new)
         known = self.known
         for pieces in split:
-            ids: list[int] = []
-            for found in map(known.__getitem__, pieces):
-                ids += found
-            yield np.array(ids, dtype=np.uint32)
+            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.pairs.tokens.__getitem__, ids.tolist()))
@@ -247,7 +249,7 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, with_ids: bo
             for start, end in small_batches(texts, BATCH_CHARS):
                 counts, ids_hash, text_hash, raw = [], [], [], []
                 for ids in encoder.encode(texts[start:end]):
-                    packed = ids.astype("<u4").tobytes()
+                    packed = ids.tobytes()
                     counts.append(len(ids))
                     ids_hash.append(hashlib.sha256(packed).hexdigest())
                     text_hash.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
