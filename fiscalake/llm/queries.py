@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fiscalake.llm import bpe, chat, decontaminate, quality, shards, token_files, urls
+from fiscalake.llm import bpe, chat, decontaminate, minhash, quality, shards, token_files, urls
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op4_snapshot_collapse": chat.op4_snapshot_collapse,
         "op5_segment_tree": bpe.op5_segment_tree,
         "op6_rule_ledger": quality.op6_rule_ledger,
+        "op7_minhash": minhash.op7_minhash,
         "op8_sampled_splitters": shards.op8_sampled_splitters,
         "op9_re_pair": token_files.op9_re_pair,
     }
