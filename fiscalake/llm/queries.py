@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from fiscalake.llm import bpe, chat, decontaminate, minhash, quality, shards, token_files, urls
+from fiscalake.llm import bpe, chat, decontaminate, minhash, private, quality, shards, token_files, urls
 
 
 def queries():
     return {
+        "op10_weak_supervision": private.op10_weak_supervision,
         "op2_fm_index": decontaminate.op2_fm_index,
         "op3_url_reputation": urls.op3_url_reputation,
         "op4_snapshot_collapse": chat.op4_snapshot_collapse,
