@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from fiscalake.llm import bpe, chat, decontaminate, minhash, private, quality, shards, token_files, urls
+from fiscalake.llm import bpe, chat, decontaminate, language, minhash, private, quality, shards, token_files, urls
 
 
 def queries():
     return {
-        "op10_weak_supervision": private.op10_weak_supervision,
+        "op1_evidence_fusion": language.op1_evidence_fusion,
         "op2_fm_index": decontaminate.op2_fm_index,
         "op3_url_reputation": urls.op3_url_reputation,
         "op4_snapshot_collapse": chat.op4_snapshot_collapse,
@@ -16,6 +16,7 @@ def queries():
         "op7_minhash": minhash.op7_minhash,
         "op8_sampled_splitters": shards.op8_sampled_splitters,
         "op9_re_pair": token_files.op9_re_pair,
+        "op10_weak_supervision": private.op10_weak_supervision,
     }
 
 
