@@ -83,7 +83,7 @@ def _pseudo_count(units: DataFrame) -> float:
         F.sum((bad - n * m) * (bad - n * m) - n * m * (1 - m)).alias("excess"),
         F.sum(n * (n - 1) * m * (1 - m)).alias("pairs"),
     ).first()
-    rho = row["excess"] / row["pairs"] if row["pairs"] else 0.0
+    rho = row["excess"] / row["pairs"] if row["pairs"] else MOST_RHO
     return 1 / min(max(rho, LEAST_RHO), MOST_RHO) - 1
 
 
@@ -170,7 +170,7 @@ def _rate_sql(units: str, name: str) -> str:
     return f"""{name} as (
       select 1 / least(greatest(coalesce(
           sum((bad - n * prior) * (bad - n * prior) - n * prior * (1 - prior))
-          / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0), 0), 1 / 201.0::double), 1 / 3.0::double) - 1 as k
+          / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0), 1), 1 / 201.0::double), 1 / 3.0::double) - 1 as k
       from {units})"""
 
 
