@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,8 +18,24 @@ _SNAPSHOT_FOLDER_PATTERN = "^(.*/snapshot=[^/]+)/[^/]+$"
 _STAMP_PATTERN = "([0-9]{8}T[0-9]{6}Z)[^/]*$"
 
 
+def _percent_decoded(text: Column) -> Column:
+    """``%XX`` undone; a plus stays a plus, and text that is no such code stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
+def plain_path(uri: Column) -> Column:
+    """The path as the file system spells it, from the URI in a file's metadata."""
+    return _percent_decoded(uri)
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader that takes patterns: every sign stands for itself."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def path_municipality(path: Column) -> Column:
-    return F.regexp_extract(path, MUNICIPALITY_PATTERN, 1)
+    """The value as it was written: folder names hold some signs as ``%XX``."""
+    return _percent_decoded(F.regexp_extract(path, MUNICIPALITY_PATTERN, 1))
 
 
 def path_year_text(path: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalake.functions.parse import br_date, br_decimal, exact_month_number
-from fiscalake.functions.paths import path_month, path_year_text
+from fiscalake.functions.paths import path_month, path_year_text, snapshot_name
 from fiscalake.functions.text import is_blank, is_filled
 from fiscalake.operators.quality import duplicate_groups
 from fiscalake.sources.schemas import (
@@ -19,9 +19,7 @@ from fiscalake.sources.schemas import (
     SOURCE_PATH,
     known_dataset,
 )
-from fiscalake.sources.snapshots import dataset_root, list_files
-
-_PROFILE_FILE_GLOB = "*.json"
+from fiscalake.sources.snapshots import list_files, read_arrays
 
 
 def _counters(dataset: str) -> dict[tuple[str, str | None], Column]:
@@ -99,23 +97,23 @@ def distinct_values(bronze: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def read_record_texts(spark: SparkSession, bronze_root: str, dataset: str) -> DataFrame:
+def read_record_texts(
+    spark: SparkSession, bronze_root: str, dataset: str, files: DataFrame | None = None
+) -> DataFrame:
     """(file, record): every record of every snapshot as JSON text, nothing typed.
 
-    Fails on a file whose top level is not a list and on an item that is no object.
+    A file is a snapshot: one array file, or a folder of part files. Fails on a top level
+    that is not a list and on an item that is no object.
     """
-    path = F.col("_metadata.file_path")
-    texts = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _PROFILE_FILE_GLOB)
-        .text(dataset_root(bronze_root, dataset), wholetext=True)
-    )
+    listed = list_snapshots(spark, bronze_root, dataset) if files is None else files
+    arrays = read_arrays(spark, [row.path for row in listed.toLocalIterator()])
+    name = snapshot_name(F.col("path"))
     items = F.when(
         F.json_array_length("value").isNotNull(), F.from_json("value", "array<string>")
     ).otherwise(
-        F.raise_error(F.concat(F.lit("not a JSON list: "), path)).cast("array<string>")
+        F.raise_error(F.concat(F.lit("not a JSON list: "), F.col("path"))).cast("array<string>")
     )
-    return texts.select(path.alias("file"), F.explode(items).alias("record"))
+    return arrays.select(name.alias("file"), F.explode(items).alias("record"))
 
 
 def record_keys(records: DataFrame) -> DataFrame:
@@ -148,18 +146,34 @@ def schema_files(records: DataFrame) -> DataFrame:
     return record_keys(records).select("schema_keys", "file").distinct()
 
 
+def list_snapshots(spark: SparkSession, bronze_root: str, dataset: str) -> DataFrame:
+    """(path) of every snapshot of a dataset, empty ones included."""
+    return list_files(spark, bronze_root, dataset).select(F.col("snapshot").alias("path")).distinct()
+
+
 def empty_files(files: DataFrame, records: DataFrame) -> DataFrame:
     """Listed files without any record."""
     return files.join(records.select(F.col("file").alias("path")).distinct(), "path", "left_anti")
 
 
+def schema_totals(files: DataFrame, records: DataFrame) -> DataFrame:
+    """(files, records, empty_files) in one row."""
+    per_file = records.groupBy(F.col("file").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    return files.join(per_file, "path", "left").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
+        F.count_if(F.col("n").isNull()).alias("empty_files"),
+    )
+
+
 def profile_dataset_schema(
     spark: SparkSession, bronze_root: str, dataset: str
 ) -> dict[str, DataFrame]:
-    """Schema profile of a Bronze dataset: sets of fields, their files, empty files."""
-    files = list_files(spark, bronze_root, dataset).select("path")
-    records = read_record_texts(spark, bronze_root, dataset)
+    """Schema profile of a Bronze dataset: totals, sets of fields, their files, empty files."""
+    files = list_snapshots(spark, bronze_root, dataset)
+    records = read_record_texts(spark, bronze_root, dataset, files)
     return {
+        "totals": schema_totals(files, records),
         "schemas": schema_profile(records),
         "schema_files": schema_files(records),
         "files": files,
