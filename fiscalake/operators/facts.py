@@ -9,12 +9,15 @@ drops rows a dimension does not know.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalake.functions.keys import (
+    MISSING_MEMBER_KEY,
     hash_key,
     or_missing_member,
     organisation_hash,
@@ -70,13 +73,26 @@ def _all_present(*names: str) -> Column:
     return present
 
 
-def _join_municipality(rows: DataFrame, municipality: DataFrame) -> DataFrame:
-    return rows.join(municipality.select("municipio", "municipio_sk"), "municipio")
+def _join_places(tuples: DataFrame, municipality: DataFrame, organisation: DataFrame) -> DataFrame:
+    members = organisation.select("municipio", F.col("nm_orgao").alias("orgao"), "orgao_sk")
+    return tuples.join(municipality.select("municipio", "municipio_sk"), "municipio").join(
+        members, ["municipio", "orgao"]
+    )
 
 
-def _join_organisation(rows: DataFrame, organisation: DataFrame) -> DataFrame:
-    members = organisation.select("municipio", F.col("nm_orgao").alias("orgao"), "orgao_sk")
-    return rows.join(members, ["municipio", "orgao"])
+def _join_through_tuples(
+    rows: DataFrame, names: Sequence[str], with_keys: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``rows`` with the keys that ``with_keys`` adds to their distinct ``names``.
+
+    Few municipalities and organisations hold most rows. The dimensions therefore meet
+    distinct tuples only, and rows move once, by the whole tuple.
+    """
+    keyed = with_keys(rows.select(*names).distinct())
+    keys = [c for c in keyed.columns if c not in names]
+    keyed = keyed.select(*[F.col(n).alias(f"_{n}") for n in names], *keys)
+    same = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names])
+    return rows.join(keyed, same).drop(*[f"_{n}" for n in names])
 
 
 def _with_expense_keys(rows: DataFrame, dims: ExpenseDimensions | None) -> DataFrame:
@@ -88,8 +104,14 @@ def _with_expense_keys(rows: DataFrame, dims: ExpenseDimensions | None) -> DataF
                 "fornecedor_sk": hash_key(F.col("fornecedor_bk")),
             }
         )
-    joined = _join_organisation(_join_municipality(rows, dims.municipality), dims.organisation)
-    return joined.join(dims.supplier.select("fornecedor_bk", "fornecedor_sk"), "fornecedor_bk")
+    suppliers = dims.supplier.select("fornecedor_bk", "fornecedor_sk")
+    return _join_through_tuples(
+        rows,
+        ("municipio", "orgao", "fornecedor_bk"),
+        lambda tuples: _join_places(tuples, dims.municipality, dims.organisation).join(
+            suppliers, "fornecedor_bk"
+        ),
+    )
 
 
 def fct_expense(silver: DataFrame, dims: ExpenseDimensions | None = None) -> DataFrame:
@@ -148,34 +170,42 @@ def _with_revenue_keys(rows: DataFrame, dims: RevenueDimensions | None) -> DataF
                 "subalinea_sk": or_missing_member(subclass_hash(F.col("ds_subalinea"))),
             }
         )
-    joined = _join_organisation(_join_municipality(rows, dims.municipality), dims.organisation)
-    for dim, text, key in zip((dims.source, dims.application, dims.class_), texts, keys):
-        joined = joined.join(dim.select(text, key), text)
     # The special member is no join partner: a source text equal to its label must
     # not multiply rows.
     regular = dims.subclass.where(~F.col("is_nao_informada")).select("ds_subalinea", "subalinea_sk")
-    return joined.join(regular, "ds_subalinea", "left").withColumn(
-        "subalinea_sk", or_missing_member(F.col("subalinea_sk"))
-    )
+
+    def with_keys(tuples: DataFrame) -> DataFrame:
+        joined = _join_places(tuples, dims.municipality, dims.organisation)
+        for dim, text, key in zip((dims.source, dims.application, dims.class_), texts, keys):
+            joined = joined.join(dim.select(text, key), text)
+        return joined.join(regular, "ds_subalinea", "left").withColumn(
+            "subalinea_sk", or_missing_member(F.col("subalinea_sk"))
+        )
+
+    return _join_through_tuples(rows, ("municipio", "orgao", *texts, "ds_subalinea"), with_keys)
 
 
 def _keyed_contents(rows: DataFrame, dims: RevenueDimensions | None) -> DataFrame:
     """Distinct revenue contents with row count, keys and fingerprint.
 
-    Keys are hashed or joined per content: copies cost nothing.
+    Keys are hashed or joined per content: copies cost nothing. ``shared`` marks contents
+    that may have their fingerprint in common: a missing year or month makes the period key
+    NULL, and a dimension that does not know a subclass gives different texts one member.
     """
     counted = rows.groupBy(*_REVENUE_CONTENT).agg(
         F.count(F.lit(1)).alias("copies"),
         # Aggregated, although these judge grouping columns: a filter on the columns
         # themselves would move below the shuffle, where it would split the shuffle in
         # two and repeat the parsing of columns that are not stored yet.
-        F.max(F.col("mes").isNull()).alias("undated"),
+        F.max(F.col("mes").isNull() | F.col("exercicio").isNull()).alias("shared"),
         F.max(_all_present("municipio", "orgao", *_REVENUE_TEXTS)).alias("complete"),
     )
+    keyed = _with_revenue_keys(counted, dims).drop("complete")
+    if dims is not None:
+        no_member = F.col("subalinea_sk") == MISSING_MEMBER_KEY
+        keyed = keyed.withColumn("shared", F.col("shared") | no_member)
     return (
-        _with_revenue_keys(counted, dims)
-        .drop("complete")
-        .withColumn("tempo_sk", period_key(F.col("exercicio"), F.col("mes")))
+        keyed.withColumn("tempo_sk", period_key(F.col("exercicio"), F.col("mes")))
         .withColumn(
             "receita_fingerprint", hash_key(*[F.col(name) for name in _REVENUE_FINGERPRINT])
         )
@@ -191,17 +221,16 @@ def fct_revenue(
 
     The one shuffle moves distinct contents and their counts, not rows.
 
-    The fingerprint holds the year only through the period key, which a missing
-    month makes NULL: contents that differ in year alone then share a fingerprint
-    and are numbered one after the other, by year.
+    Contents with one fingerprint are numbered one after the other, by year, month and
+    subclass text, so that no key occurs twice.
     """
     numbered = number_copies(
         _keyed_contents(silver, dims),
         copies="copies",
         number="nr_ocorrencia",
         key="receita_fingerprint",
-        shared="undated",
-        order="exercicio",
+        shared="shared",
+        order=("exercicio", "mes", "ds_subalinea"),
         copies_per_task=copies_per_task,
     )
     return numbered.select(

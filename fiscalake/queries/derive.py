@@ -117,12 +117,13 @@ def defective_expense_records(orders: DataFrame) -> DataFrame:
     )
 
 
-def revenue_records(lineitem: DataFrame) -> DataFrame:
+def revenue_records(lineitem: DataFrame, *kept: str) -> DataFrame:
     """Bronze revenues with coarse amounts, so that identical records occur."""
     year, month = F.year("l_shipdate"), F.month("l_shipdate")
     municipality = _text("m", F.col("l_suppkey") % 3)
     line, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     records = lineitem.select(
+        *kept,
         municipality.alias("municipio"),
         year.alias("exercicio"),
         month.alias("mes_particao"),
@@ -145,6 +146,26 @@ def revenue_records(lineitem: DataFrame) -> DataFrame:
     return records
 
 
+def defective_revenue_records(lineitem: DataFrame) -> DataFrame:
+    """The same records, some with an unknown year or month or a blank or missing source."""
+    key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    no_year = F.regexp_replace("arquivo_origem", "exercicio=[0-9]{4}", "exercicio=abc")
+    records = lineitem.select(key.alias("k"), "*").transform(lambda df: revenue_records(df, "k"))
+    return as_parsed(records).withColumns(
+        {
+            "mes": F.when(F.col("k") % 31 == 0, "Marco").otherwise(F.col("mes")),
+            "ds_fonte_recurso": F.when(F.col("k") % 23 == 0, " ")
+            .when(F.col("k") % 29 == 0, None)
+            .otherwise(F.col("ds_fonte_recurso")),
+            "arquivo_origem": F.when(F.col("k") % 37 == 0, no_year).otherwise(F.col("arquivo_origem")),
+        }
+    )
+
+
+def defective_revenues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_revenues(defective_revenue_records(table(spark, sf_dir, "lineitem")))
+
+
 def expenses(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     """Silver expenses; ``whole`` for models that read whole records."""
     records = expense_records(table(spark, sf_dir, "orders"))

@@ -211,24 +211,51 @@ def fct_revenue_joined(spark, sf):
     return FC.fct_revenue(S.revenues(spark, sf, whole=True), _revenue_dims(exp, rev))
 
 
+@_query(rows("f_rev_bad"))
+def fct_revenue_with_defects(spark, sf):
+    """Years and months that are unknown; contents that then share a fingerprint."""
+    return FC.fct_revenue(S.defective_revenues(spark, sf))
+
+
+@_query(rows("f_rev_gaps"))
+def fct_revenue_joined_with_gaps(spark, sf):
+    """The subclass dimension misses every text of an odd length."""
+    exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
+    bad = S.defective_revenues(spark, sf)
+    known = D.dim_subclass(rev).where(F.length("ds_subalinea") % 2 == 0)
+    dims = FC.RevenueDimensions(
+        D.dim_municipality(exp, rev),
+        D.dim_organisation(exp, rev),
+        D.dim_source(bad),
+        D.dim_application(rev),
+        D.dim_class(rev),
+        known,
+    )
+    return FC.fct_revenue(bad, dims)
+
+
 # ---- quality ---------------------------------------------------------------------
 
 _PLANTED_GAP = "where not (exercicio = 1997 and ds_fonte_recurso = '05 - FEDERAL')"
 
 
-@_query(
-    sql(
-        """select coalesce(s.evento, g.evento) as evento, s.n as quantidade_silver,
-          g.n as quantidade_gold, s.v as valor_silver, g.v as valor_gold
-        from (select evento, count(*) as n, cast(sum(vl_despesa) as decimal(28,2)) as v
-              from stg_bad group by evento) s
-        full join (select evento, count(*) as n, cast(sum(vl_despesa) as decimal(28,2)) as v
-                   from f_bad group by evento) g on s.evento = g.evento
-        where s.n is distinct from g.n or s.v is distinct from g.v""",
-        "stg_bad",
-        "f_bad",
+def _recon_sql(keys: str, silver: str, gold: str, amount: str, *blocks: str) -> str:
+    """Both sides in one list, each row with its side; groups in which the sides differ."""
+    n = lambda side: f"count(*) filter (side = '{side}')"
+    total = lambda side: f"cast(sum({amount}) filter (side = '{side}') as decimal(28,2))"
+    return sql(
+        f"""select {keys}, nullif({n('silver')}, 0) as quantidade_silver,
+          nullif({n('gold')}, 0) as quantidade_gold, {total('silver')} as valor_silver,
+          {total('gold')} as valor_gold
+        from (select 'silver' as side, {keys}, {amount} from {silver}
+              union all select 'gold', {keys}, {amount} from {gold})
+        group by {keys}
+        having {n('silver')} <> {n('gold')} or {total('silver')} is distinct from {total('gold')}""",
+        *blocks,
     )
-)
+
+
+@_query(_recon_sql("evento", "stg_bad", "f_bad", "vl_despesa", "stg_bad", "f_bad"))
 def recon_expense(spark, sf):
     """Rows without a supplier identifier never reach the fact: a real difference."""
     silver = S.defective_expenses(spark, sf)
@@ -237,19 +264,8 @@ def recon_expense(spark, sf):
 
 
 @_query(
-    sql(
-        f"""select coalesce(s.municipio, g.municipio) as municipio,
-          coalesce(s.exercicio, g.exercicio) as exercicio, coalesce(s.mes, g.mes) as mes,
-          s.n as quantidade_silver, g.n as quantidade_gold,
-          s.v as valor_silver, g.v as valor_gold
-        from (select municipio, exercicio, mes, count(*) as n,
-                cast(sum(vl_arrecadacao) as decimal(28,2)) as v from stg_rev group by all) s
-        full join (select municipio, exercicio, mes, count(*) as n,
-                cast(sum(vl_arrecadacao) as decimal(28,2)) as v from stg_rev {_PLANTED_GAP}
-                group by all) g
-          on s.municipio = g.municipio and s.exercicio = g.exercicio and s.mes = g.mes
-        where s.n is distinct from g.n or s.v is distinct from g.v""",
-        "stg_rev",
+    _recon_sql(
+        "municipio, exercicio, mes", "stg_rev", f"(from stg_rev {_PLANTED_GAP})", "vl_arrecadacao", "stg_rev"
     )
 )
 def recon_revenue(spark, sf):
