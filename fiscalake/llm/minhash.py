@@ -81,6 +81,14 @@ class Shingler:
         return np.unique(value)
 
 
+def similar(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
+    """Whether the intersection has ``similarity`` hundredths of the union; empty sets never."""
+    if 100 * min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and 100 * common >= similarity * (len(a) + len(b) - common)
+
+
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """Minima of BANDS * ROWS universal hashes, a row for each set; no set may be empty."""
     draw = np.random.default_rng(SEED)
@@ -191,12 +199,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
                         own = [*own, found] if centre == (x, part) else [found]
                         centre = (x, part)
                         continue
-                    for s in own:
-                        common = len(np.intersect1d(s, found, assume_unique=True))
-                        if 100 * common >= similarity * (len(s) + len(found) - common) and common:
-                            found_x.append(x)
-                            found_y.append(y)
-                            break
+                    if any(similar(s, found, similarity) for s in own):
+                        found_x.append(x)
+                        found_y.append(y)
             yield pa.RecordBatch.from_pydict(
                 {"x": pa.array(found_x, batch.column("x").type), "y": pa.array(found_y, batch.column("x").type)}
             )
@@ -210,15 +215,66 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
     )
 
 
-def _missed_pairs(hits: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """(x, y) of different components in one bucket that no leader has compared.
-
-    In blocks: the members outside the bucket's main component against all members.
+class _Block:
+    """Rows of one block of a bucket: side 0 against side 1."""
+
+    def __init__(self, rows: list[dict]):
+        self.sides = [[r for r in rows if r["side"] == side] for side in (0, 1)]
+        self.band = rows[0]["band"]
+
+    def _matrix(self, name: str, kind) -> list[np.ndarray]:
+        return [np.array([r[name] for r in side], dtype=kind).reshape(len(side), -1) for side in self.sides]
+
+    def links(self, shingler: Shingler, similarity: int) -> Iterator[tuple]:
+        """Links between different components, one for each pair of components at most.
+
+        A pair that meets in an earlier band as well is left to that band's bucket.
+        """
+        outside, inside = self.sides
+        if not outside or not inside:
+            return
+        a, b = self._matrix("minima", np.int16)
+        equal = np.zeros((len(a), len(b)), dtype=np.int16)
+        for j in range(a.shape[1]):
+            equal += a[:, j][:, None] == b[:, j][None, :]
+        c, d = self._matrix("bands", np.int64)
+        earlier = np.zeros(equal.shape, dtype=bool)
+        for j in range(self.band):
+            earlier |= c[:, j][:, None] == d[:, j][None, :]
+        likely = np.argwhere((equal >= int(SIGNATURE_SHARE * BANDS * ROWS)) & ~earlier)
+        likely = likely[np.argsort(-equal[likely[:, 0], likely[:, 1]], kind="stable")]
+        name: dict = {}
+        sets: dict = {}
+
+        def root(label):
+            while name.get(label, label) != label:
+                label = name[label]
+            return label
+
+        def full(side: int, k: int) -> np.ndarray:
+            if (side, k) not in sets:
+                (sets[side, k],) = shingler.sets([self.sides[side][k]["text"]])
+            return sets[side, k]
+
+        for i, k in likely.tolist():
+            x, y = root(outside[i]["label"]), root(inside[k]["label"])
+            if x != y and similar(full(0, i), full(1, k), similarity):
+                name[x] = y
+                yield outside[i]["id"], inside[k]["id"]
+
+
+def _missed_links(
+    hits: DataFrame, labels: DataFrame, members: DataFrame, words: int, similarity: int
+) -> DataFrame:
+    """(x, y) that join different components of a bucket and that no leader has seen.
+
+    In blocks: the members outside the bucket's main component against all members. Pairs
+    are compared where they meet; what comes out joins components.
     """
     spark = hits.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     labelled = hits.join(labels, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("label")
+        "key", "band", "id", F.coalesce("component", "id").alias("label")
     )
     groups = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
@@ -231,72 +287,50 @@ def _missed_pairs(hits: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
         )
         .where((F.col("kinds") > 1) & (F.col("n") > 2))
     )
-    minima = classes.select(F.col("doc_id").alias("id"), "minima")
-    members = (
+    found = (
         labelled.join(mixed, "key")
         .select(
-            "key", "id", "label", (F.col("label") != F.col("main")).alias("outside"),
+            "key", "band", "id", "label", (F.col("label") != F.col("main")).alias("outside"),
             F.ceil((F.col("n") - F.col("n_main")) / BLOCK).alias("outer"),
             F.ceil(F.col("n") / BLOCK).alias("inner"),
         )
-        .join(minima, "id")
+        .join(members, "id")
     )
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    columns = ["key", "id", "label", "minima"]
-    one = members.where("outside").select(
-        *columns, F.lit(0).alias("side"), own("outer").alias("o"), F.explode(upto("inner")).alias("i")
-    )
-    other = members.select(
-        *columns, F.lit(1).alias("side"), F.explode(upto("outer")).alias("o"), own("inner").alias("i")
-    )
+    place = lambda side, o, i: F.struct(F.lit(side).alias("side"), o.alias("o"), i.alias("i"))
+    as_outside = F.transform(upto("inner"), lambda i: place(0, own("outer"), i))
+    as_member = F.transform(upto("outer"), lambda o: place(1, o, own("inner")))
+    places = F.when(F.col("outside"), F.concat(as_outside, as_member)).otherwise(as_member)
+    dealt = found.select("key", "band", "id", "label", "minima", "bands", "text", F.inline(places))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {name: [] for name in ("key", "id", "label", "side", "o", "i")}
-        minima_held: list[np.ndarray] = []
-
-        def flush() -> tuple[list, list]:
-            side = np.array(held["side"]) == 0
-            ids, label, m = np.array(held["id"]), np.array(held["label"]), np.stack(minima_held)
-            equal = np.zeros((int(side.sum()), int((~side).sum())), dtype=np.int16)
-            for j in range(m.shape[1]):
-                equal += m[side, j][:, None] == m[~side, j][None, :]
-            a, b = np.nonzero(
-                (equal >= int(SIGNATURE_SHARE * BANDS * ROWS)) & (label[side][:, None] != label[~side][None, :])
-            )
-            return ids[side][a].tolist(), ids[~side][b].tolist()
+        shingler, held, here, id_type = Shingler(words), [], None, None
 
-        def empty() -> None:
-            minima_held.clear()
-            for values in held.values():
-                values.clear()
+        def out(links: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {"x": pa.array([x for x, _ in links], id_type), "y": pa.array([y for _, y in links], id_type)}
+            )
 
-        id_type = None
         for batch in batches:
             id_type = batch.column("id").type
-            found_x, found_y = [], []
-            for row in batch.to_pylist():
-                here = (row["key"], row["o"], row["i"])
-                if minima_held and here != (held["key"][-1], held["o"][-1], held["i"][-1]):
-                    x, y = flush()
-                    found_x, found_y = found_x + x, found_y + y
-                    empty()
-                minima_held.append(np.array(row["minima"], dtype=np.int16))
-                for name, values in held.items():
-                    values.append(row[name])
-            yield pa.RecordBatch.from_pydict({"x": pa.array(found_x, id_type), "y": pa.array(found_y, id_type)})
-        if minima_held:
-            x, y = flush()
-            yield pa.RecordBatch.from_pydict({"x": pa.array(x, id_type), "y": pa.array(y, id_type)})
+            for k in range(0, batch.num_rows, 500):
+                for row in batch.slice(k, 500).to_pylist():
+                    block = (row["key"], row["o"], row["i"])
+                    if held and block != here:
+                        yield out(list(_Block(held).links(shingler, similarity)))
+                        held = []
+                    here = block
+                    held.append(row)
+        if held:
+            yield out(list(_Block(held).links(shingler, similarity)))
 
     key = hits.schema["id"].dataType.simpleString()
-    found = (
-        one.union(other)
-        .repartition(parts, "key", "o", "i")
+    return (
+        dealt.repartition(parts, "key", "o", "i")
         .sortWithinPartitions("key", "o", "i")
         .mapInArrow(compare, f"x {key}, y {key}")
     )
-    return found.distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
@@ -311,18 +345,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, similarity: int = S
         named.join(first, "digest").where(F.col("doc_id") == F.col("class_id")).select("doc_id", "bands", "minima"),
         "sketch-of-classes",
     )
-    meet = classes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")).distinct()
+    meet = classes.select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id")).distinct()
     shared = meet.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
     hits = stored(meet.join(shared, "key"), "buckets")
-    texts = stored(
-        docs.select(F.col("doc_id").alias("id"), "text").join(hits.select("id").distinct(), "id", "left_semi"),
-        "texts",
-    )
+    met = hits.select("id").distinct()
+    texts = stored(docs.select(F.col("doc_id").alias("id"), "text").join(met, "id", "left_semi"), "texts")
     pairs = stored(_agreeing(_leader_pairs(hits), classes), "pairs")
     links = stored(_linked(pairs, texts, shingle_words, similarity), "links")
     labels = stored(connected_components(links), "labels")
-    missed = stored(_missed_pairs(hits, labels, classes), "missed")
-    more = _linked(missed, texts, shingle_words, similarity)
+    members = texts.join(classes.withColumnRenamed("doc_id", "id"), "id")
+    more = _missed_links(hits, labels, members, shingle_words, similarity)
     whole = labels.select(F.col("id").alias("x"), F.col("component").alias("y")).union(more)
     final = connected_components(whole).select(F.col("id").alias("class_id"), "component")
     named_classes = stored(
