@@ -62,8 +62,14 @@ def br_date(col: Column) -> Column:
 
 
 def iso_timestamp(col: Column) -> Column:
-    """ISO-8601 text, with ``Z`` or an offset, to TIMESTAMP; blank is NULL."""
-    return F.nullif(col, F.lit("")).try_cast("timestamp")
+    """ISO-8601 text to TIMESTAMP; without ``Z`` or an offset it is UTC, blank is NULL."""
+    text = F.nullif(col, F.lit(""))
+    zoned = (
+        F.when(text.rlike(r"^[0-9-]+$"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(r"[0-9]{2}:[0-9]{2}(:[0-9.]+)?$") & ~text.rlike(r"[+-][0-9]{2}:[0-9]{2}$"), F.concat(text, F.lit("Z")))
+        .otherwise(text)
+    )
+    return zoned.try_cast("timestamp")
 
 
 def micros_between(start: Column, end: Column) -> Column:

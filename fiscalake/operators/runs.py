@@ -43,7 +43,8 @@ def extraction_indicators(runs: DataFrame) -> DataFrame:
 def last_full_run(runs: DataFrame) -> DataFrame:
     """One row: the run of the whole job that ended last."""
     fields = ("run_id", "status", "dry_run", "completed_at_utc", "duration_seconds", "failed_stage")
-    order = F.struct("completed_at_utc", "manifest_line_number")
+    place = [c for c in ("manifest_file", "manifest_line_number") if c in runs.columns]
+    order = F.struct("completed_at_utc", *place)
     return (
         runs.where(F.col("completed_at_utc").isNotNull())
         .agg(F.max_by(F.struct(*fields), order).alias("last"))

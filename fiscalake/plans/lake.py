@@ -52,10 +52,22 @@ PARTITIONED_SCHEMAS = {
 }
 
 # Few, evenly filled folders that most reports filter on. Snapshot files hold one
-# month each, so writing by year needs no shuffle.
+# month each, but tasks that read many of them write to many years.
 YEAR_PARTITION = ("exercicio",)
 
 
+def partitioning(table: str) -> tuple[str, ...]:
+    return YEAR_PARTITION if table in PARTITIONED_SCHEMAS else ()
+
+
+def read_table(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """A table in its declared column order; partition columns are not inferred."""
+    if table not in PARTITIONED_SCHEMAS:
+        return spark.read.parquet(path)
+    names = [column.split()[0] for column in PARTITIONED_SCHEMAS[table].split(", ")]
+    return spark.read.schema(PARTITIONED_SCHEMAS[table]).parquet(path).select(*names)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Parquet tables below one root, ``<root>/<layer>/<table>``."""
@@ -67,18 +79,18 @@ class Lake:
         layer = "silver" if table in SILVER_TABLES else "gold"
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Replace a table by a full rebuild."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table))
+    def write(self, table: str, df: DataFrame) -> None:
+        """Replace a table by a full rebuild.
+
+        A table with years is rebalanced by them first, else every task of a shuffle would
+        open a file for every year; a large year is split over tasks.
+        """
+        years = partitioning(table)
+        dealt = df.hint("rebalance", *years) if years else df
+        dealt.write.mode("overwrite").partitionBy(*years).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        """The table in its declared column order; partition columns are not inferred."""
-        reader = self.spark.read
-        if table in PARTITIONED_SCHEMAS:
-            reader = reader.schema(PARTITIONED_SCHEMAS[table])
-            names = [column.split()[0] for column in PARTITIONED_SCHEMAS[table].split(", ")]
-            return reader.parquet(self.path(table)).select(*names)
-        return reader.parquet(self.path(table))
+        return read_table(self.spark, table, self.path(table))
 
     def tables(self, names: Sequence[str] = SILVER_TABLES + GOLD_TABLES) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in names}
@@ -89,8 +101,7 @@ def _write_together(lake: Lake, models: dict[str, Callable[[], DataFrame]]) -> N
 
     def write(item):
         name, model = item
-        partition_by = YEAR_PARTITION if name in PARTITIONED_SCHEMAS else ()
-        lake.write(name, model(), partition_by)
+        lake.write(name, model())
 
     with ThreadPoolExecutor(max_workers=len(models)) as pool:
         list(pool.map(write, models.items()))

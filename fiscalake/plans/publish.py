@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalake.plans.lake import GOLD_TABLES, Lake
+from fiscalake.plans.lake import GOLD_TABLES, Lake, partitioning, read_table
 from fiscalake.sources.manifests import read_full_runs, read_ingestion_runs
 
 _POINTER_SCHEMA = "version string, table string, rows bigint"
@@ -38,7 +38,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dic
     counts: dict[str, int] = {}
     for name, source in tables.items():
         target = _version_path(root, version, name)
-        source.write.parquet(target)
+        source.write.partitionBy(*partitioning(name)).parquet(target)
         expected, found = source.count(), spark.read.parquet(target).count()
         if expected != found:
             raise PublishError(f"{name}: {expected} rows in the source, {found} in the copy")
@@ -73,7 +73,7 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing is published at {root}")
-    return spark.read.parquet(_version_path(root, version, table))
+    return read_table(spark, table, _version_path(root, version, table))
 
 
 def publish_lake(

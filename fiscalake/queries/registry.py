@@ -14,10 +14,20 @@ from fiscalake.operators import dimensions as D
 from fiscalake.operators import facts as FC
 from fiscalake.operators import periods
 from fiscalake.plans import lake, publish
-from fiscalake.plans.checks import DECLARED_TESTS, run_all_checks
+from fiscalake.plans.checks import run_all_checks
 from fiscalake.plans.silver import silver_expenses
 from fiscalake.queries import derive as S
-from fiscalake.queries.oracle import _EVENTS, _money, _month, rows, sql
+from fiscalake.queries.oracle import (
+    _EVENTS,
+    _MONTH_NUMBERS,
+    _TYPES,
+    EXPENSE_CONTENT,
+    REVENUE_CONTENT,
+    _money,
+    _month,
+    rows,
+    sql,
+)
 from fiscalake.session import scratch_path
 from fiscalake.sources import landing, manifests, snapshots
 from fiscalake.sources.schemas import BRONZE_COLUMNS, EXPENSES, REVENUES, SOURCE_PATH
@@ -80,6 +90,51 @@ def bronze_json_roundtrip(spark, sf):
     return silver_expenses(snapshots.read_latest(spark, root, EXPENSES)).drop(SOURCE_PATH)
 
 
+@_query(
+    sql(
+        """select 'são paulo 5%' as municipio, exercicio, mes, orgao, evento, nr_empenho, id_fornecedor,
+          nm_fornecedor, dt_emissao_despesa, vl_despesa
+        from stg_exp where mes <> 12""",
+        "stg_exp",
+    )
+)
+def latest_rows_from_files(spark, sf):
+    """Two stamps of every month land; the newer one corrects all and empties December."""
+    root = scratch_path(spark, "odd names [1]")
+    name = F.lit("são paulo 5%").alias("municipio")
+    records = _orders_as_records(spark, sf).withColumn("municipio", name)
+    planned = records.select(*snapshots.PARTITION).distinct()
+    stale = records.withColumn("nr_empenho", F.lit("superseded"))
+    landing.write_snapshots(stale, root, EXPENSES, "20230101T000000Z")
+    landing.write_snapshots(records.where("mes_particao <> 12"), root, EXPENSES, S.STAMP, planned)
+    return silver_expenses(snapshots.read_latest(spark, root, EXPENSES)).drop(SOURCE_PATH)
+
+
+def _landed_json_sql(columns: str) -> str:
+    parts = " || ',' || ".join(f"""'"{c.strip()}":' || to_json({c.strip()})""" for c in columns.split(","))
+    return f"'[{{' || {parts} || '}}]' || chr(10)"
+
+
+@_query(
+    sql(
+        f"""select municipio as municipality, exercicio as year, mes_particao as month,
+          strlen(line)::bigint as content_length_bytes, sha256(line) as sha256
+        from (select *, {_landed_json_sql('orgao, mes, evento, nr_empenho, id_fornecedor, nm_fornecedor, dt_emissao_despesa, vl_despesa')} as line
+              from raw_exp qualify row_number() over (partition by municipio, exercicio, mes_particao order by k) = 1)""",
+        "raw_exp",
+    )
+)
+def landed_checksums(spark, sf):
+    """Bytes and checksum of what landed, for the first record of every month."""
+    records = _orders_as_records(spark, sf)
+    first = records.groupBy(*snapshots.PARTITION).agg(F.min("o_orderkey").alias("o_orderkey"))
+    one = records.join(first, [*snapshots.PARTITION, "o_orderkey"])
+    base = scratch_path(spark, "landed")
+    landing.land(one, base, f"{base}/manifest", EXPENSES, planned=first)
+    runs_ = manifests.read_ingestion_runs(spark, f"{base}/manifest")
+    return runs_.select("municipality", "year", "month", "content_length_bytes", "sha256")
+
+
 @_query(
     sql(
         """select 'despesas' as dataset, municipio as municipality, exercicio as year,
@@ -465,6 +520,68 @@ _BLOCKS = {
 }
 
 
+def _built_lake(spark, sf) -> lake.Lake:
+    exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
+    last = S.table(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
+    built = lake.Lake(spark, scratch_path(spark, "lake"))
+    lake.write_silver(built, lambda: exp, lambda: rev)
+    lake.write_gold(built, last)
+    return built
+
+
+# Fixed values, written out here and not taken from the declarations under test:
+# table -> (not null, unique, accepted, relationships as column: parent).
+_NOT_NULL = {
+    "stg_despesas": "municipio exercicio mes orgao evento nr_empenho id_fornecedor nm_fornecedor "
+    "dt_emissao_despesa vl_despesa arquivo_origem",
+    "stg_receitas": "municipio exercicio mes orgao ds_fonte_recurso ds_cd_aplicacao_fixo ds_alinea "
+    "vl_arrecadacao arquivo_origem",
+    "dim_municipio": "municipio_sk municipio nm_municipio uf",
+    "dim_orgao": "orgao_sk municipio_sk municipio nm_orgao",
+    "dim_tempo": "tempo_sk dt_mes exercicio mes nm_mes trimestre semestre ano_mes",
+    "dim_fornecedor": "fornecedor_sk fornecedor_bk id_fornecedor tipo_fornecedor nm_fornecedor_atual "
+    "primeira_dt_observada ultima_dt_observada qtd_nomes_observados",
+    "fct_despesas": "despesa_sk municipio_sk orgao_sk tempo_sk fornecedor_sk exercicio mes evento "
+    "nr_empenho dt_emissao_despesa vl_despesa id_fornecedor nm_fornecedor_origem",
+    "fct_receitas": "receita_sk receita_fingerprint nr_ocorrencia municipio_sk orgao_sk tempo_sk "
+    "fonte_recurso_sk aplicacao_sk alinea_sk subalinea_sk exercicio mes vl_arrecadacao "
+    "nm_orgao_origem ds_fonte_recurso ds_cd_aplicacao_fixo ds_alinea",
+}
+_UNIQUE = {
+    "dim_municipio": "municipio_sk municipio",
+    "dim_orgao": "orgao_sk",
+    "dim_tempo": "tempo_sk dt_mes ano_mes",
+    "dim_fornecedor": "fornecedor_sk fornecedor_bk",
+    "fct_despesas": "despesa_sk",
+    "fct_receitas": "receita_sk",
+}
+_ACCEPTED = {
+    ("stg_despesas", "mes"): _MONTH_NUMBERS,
+    ("stg_despesas", "evento"): _EVENTS,
+    ("stg_receitas", "mes"): _MONTH_NUMBERS,
+    ("dim_tempo", "mes"): _MONTH_NUMBERS,
+    ("dim_tempo", "trimestre"): "1, 2, 3, 4",
+    ("dim_tempo", "semestre"): "1, 2",
+    ("dim_fornecedor", "tipo_fornecedor"): ", ".join(f"'{t}'" for t in _TYPES),
+    ("fct_despesas", "evento"): _EVENTS,
+}
+_PARENTS = {
+    "municipio_sk": "dim_municipio",
+    "orgao_sk": "dim_orgao",
+    "tempo_sk": "dim_tempo",
+    "fornecedor_sk": "dim_fornecedor",
+    "fonte_recurso_sk": "dim_fonte_recurso",
+    "aplicacao_sk": "dim_aplicacao",
+    "alinea_sk": "dim_alinea",
+    "subalinea_sk": "dim_subalinea",
+}
+_CHILDREN = {
+    "dim_orgao": "municipio_sk",
+    "fct_despesas": "municipio_sk orgao_sk tempo_sk fornecedor_sk",
+    "fct_receitas": "municipio_sk orgao_sk tempo_sk fonte_recurso_sk aplicacao_sk alinea_sk subalinea_sk",
+}
+
+
 def _check_sql(table: str, check: str, column: str, severity: str, failures: str) -> str:
     return (
         f"select '{table}' as \"table\", '{check}' as \"check\", '{column}' as \"column\", "
@@ -472,73 +589,74 @@ def _check_sql(table: str, check: str, column: str, severity: str, failures: str
     )
 
 
-def _declared_checks_sql(table: str) -> list[str]:
-    tests, block = DECLARED_TESTS[table], _BLOCKS[table]
-    conditions = [("not_null", c, f"{c} is null") for c in tests.not_null]
-    for c, values in tests.accepted.items():
-        listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-        conditions.append(("accepted_values", c, f"{c} not in ({listed})"))
-    if tests.rules:
+def _declared_checks_sql(table: str, blocks: dict[str, str]) -> list[str]:
+    block = blocks[table]
+    conditions = [("not_null", c, f"{c} is null") for c in _NOT_NULL[table].split()]
+    for (owner, c), values in _ACCEPTED.items():
+        if owner == table:
+            conditions.append(("accepted_values", c, f"{c} not in ({values})"))
+    if table.startswith("stg_"):
         conditions.append(("partition_consistency", "mes", _BAD_PATH))
     found = [
         _check_sql(table, check, c, "error", f"count(*) filter ({test})") + f" from {block}"
         for check, c, test in conditions
     ]
-    for c in tests.unique:
+    for c in _UNIQUE.get(table, "").split():
         repeated = f"select 1 from {block} where {c} is not null group by {c} having count(*) > 1"
         found.append(_check_sql(table, "unique", c, "error", "count(*)") + f" from ({repeated})")
-    for rel in tests.relationships:
-        orphaned = (
-            f"select 1 from {block} c where c.{rel.column} is not null and not exists "
-            f"(select 1 from {_BLOCKS[rel.parent]} p where p.{rel.parent_column} = c.{rel.column})"
-        )
-        found.append(
-            _check_sql(table, "relationships", rel.column, "error", "count(*)")
-            + f" from ({orphaned})"
-        )
+    for c in _CHILDREN.get(table, "").split():
+        orphaned = f"{c} is not null and {c} not in (select {c} from {blocks[_PARENTS[c]]} where {c} is not null)"
+        found.append(_check_sql(table, "relationships", c, "error", f"count(*) filter ({orphaned})") + f" from {block}")
     return found
 
 
-def _all_checks_sql() -> str:
-    found = [part for table in DECLARED_TESTS for part in _declared_checks_sql(table)]
-    for table, contract in (
-        ("stg_despesas", contracts.EXPENSE_CONTRACT),
-        ("stg_receitas", contracts.REVENUE_CONTRACT),
+def _all_checks_sql(changed: dict[str, str] | None = None) -> str:
+    blocks = {**_BLOCKS, **(changed or {})}
+    found = [part for table in _NOT_NULL for part in _declared_checks_sql(table, blocks)]
+    for table, check, severity, content in (
+        ("stg_despesas", "exact_duplicates", "error", EXPENSE_CONTENT),
+        ("stg_receitas", "potential_exact_duplicates", "warning", REVENUE_CONTENT),
     ):
-        check, severity = contract.duplicate_rule
-        content = ", ".join(contract.duplicate_columns)
-        repeated = f"select 1 from {_BLOCKS[table]} group by {content} having count(*) > 1"
+        repeated = f"select 1 from {blocks[table]} group by {content} having count(*) > 1"
         found.append(_check_sql(table, check, "*", severity, "count(*)") + f" from ({repeated})")
     for table, silver, fact, keys, amount in (
-        ("fct_despesas", "stg_exp", "f_exp", "evento", "vl_despesa"),
+        ("fct_despesas", blocks["stg_despesas"], blocks["fct_despesas"], "evento", "vl_despesa"),
         (
-            "fct_receitas",
-            "stg_rev",
-            "(f_rev join d_mun using (municipio_sk))",
-            "municipio, exercicio, mes",
-            "vl_arrecadacao",
+            "fct_receitas", blocks["stg_receitas"],
+            f"(from {blocks['fct_receitas']} join d_mun using (municipio_sk))",
+            "municipio, exercicio, mes", "vl_arrecadacao",
         ),
-    ):
-        gaps = (
-            f"select {keys}, count(*), sum({amount}) from {silver} group by all except "
-            f"select {keys}, count(*), sum({amount}) from {fact} group by all"
+    ):
+        sides = (
+            f"select {keys}, sum(side) as n, sum(side * {amount}) as v from ("
+            f"select {keys}, {amount}, 1 as side from {silver} union all "
+            f"select {keys}, {amount}, -1 from {fact}) group by {keys} having n <> 0 or v <> 0"
         )
         found.append(
-            _check_sql(table, "reconciles_with_silver", "*", "error", "count(*)")
-            + f" from ({gaps})"
+            _check_sql(table, "reconciles_with_silver", "*", "error", "count(*)") + f" from ({sides})"
         )
-    return sql(" union all ".join(found), *_BLOCKS.values())
+    return sql(" union all ".join(found), *dict.fromkeys([*_BLOCKS.values(), *blocks.values()]))
 
 
 @_query(_all_checks_sql())
 def dq_all_checks(spark, sf):
     """Every declared and cross check over all tables built from the given ones."""
-    exp, rev = S.expenses(spark, sf), S.revenues(spark, sf)
-    last = S.table(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
-    built = lake.Lake(spark, scratch_path(spark, "lake"))
-    lake.write_silver(built, lambda: exp, lambda: rev)
-    lake.write_gold(built, last)
-    return run_all_checks(built.tables())
+    return run_all_checks(_built_lake(spark, sf).tables())
+
+
+@_query(
+    _all_checks_sql({"stg_despesas": "stg_bad", "fct_despesas": "f_bad_twice", "dim_fornecedor": "d_sup_odd"})
+)
+def dq_all_checks_with_defects(spark, sf):
+    """The same over defective expenses, a fact with repeated rows, and a supplier
+    dimension that misses identifiers of an odd length."""
+    tables = _built_lake(spark, sf).tables()
+    bad = S.defective_expenses(spark, sf)
+    fact = FC.fct_expense(bad)
+    tables["stg_despesas"] = bad
+    tables["fct_despesas"] = fact.unionByName(fact.where(F.col("mes") == 3))
+    tables["dim_fornecedor"] = tables["dim_fornecedor"].where(F.length("fornecedor_bk") % 2 == 0)
+    return run_all_checks(tables)
 
 
 # ---- profiles --------------------------------------------------------------------
@@ -734,40 +852,109 @@ def ops_full_run_summary(spark, sf):
     return runs.full_run_summary(manifests.parse_full_runs(S.full_run_lines(spark, sf)).runs)
 
 
-@_query(rows("full_runs"))
+@_query(
+    sql(
+        """select * exclude (manifest_line_number), row_number() over (
+          partition by dry_run order by manifest_line_number) as manifest_line_number
+        from full_runs""",
+        "full_runs",
+    )
+)
 def full_run_append(spark, sf):
-    """Append run records in two writes, then read the manifest back."""
+    """Run records appended in two files; each line is numbered within its file."""
     parsed = manifests.parse_full_runs(S.full_run_lines(spark, sf)).runs
     path = scratch_path(spark, "full-runs")
     as_text = {
         name: F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         for name in ("started_at_utc", "completed_at_utc")
     }
-    records = parsed.withColumns(as_text).drop("manifest_line_number")
-    kept = parsed.select("run_id", "manifest_line_number")
+    records = parsed.withColumns(as_text)
     for dry in (True, False):
-        landing.append_full_runs(records.where(F.col("dry_run") == dry), path)
-    lines = spark.read.text(path).select(F.lit(1).alias("line_number"), F.col("value").alias("line"))
-    landed = manifests.require_no_rejects(manifests.parse_full_runs(lines))
-    return landed.drop("manifest_line_number").join(kept, "run_id")
+        ordered = records.where(F.col("dry_run") == dry).coalesce(1)
+        ordered = ordered.sortWithinPartitions("manifest_line_number").drop("manifest_line_number")
+        landing.append_full_runs(ordered, path)
+    return manifests.read_full_runs(spark, path).drop("manifest_file")
+
+
+@_query(
+    sql(
+        """select * exclude (manifest_line_number, month), month, month as file_month, row_number() over (
+          partition by month order by manifest_line_number) as manifest_line_number
+        from ing_runs""",
+        "ing_runs",
+    )
+)
+def ingestion_runs_from_files(spark, sf):
+    """Usable manifest lines in one file for each month, read by the strict reader."""
+    parsed = _ingestion(spark, sf).runs.select("month", F.col("manifest_line_number").alias("line_number"))
+    lines = S.ingestion_lines(spark, sf).join(parsed, "line_number")
+    path = scratch_path(spark, "ingestion")
+    (
+        lines.select("month", "line_number", F.col("line").alias("value"))
+        .repartition(4, "month")
+        .sortWithinPartitions("month", "line_number")
+        .drop("line_number")
+        .write.partitionBy("month")
+        .text(path)
+    )
+    found = manifests.read_ingestion_runs(spark, f"{path}/month=*")
+    month = F.regexp_extract("manifest_file", "month=([0-9]+)", 1).cast("int")
+    return found.withColumn("file_month", month).drop("manifest_file")
 
 
 # ---- serving ---------------------------------------------------------------------
 
-_PUBLISHED = ("region", "nation", "supplier", "customer", "part", "orders")
+_GOLD_BLOCKS = {
+    "dim_municipio": "d_mun",
+    "dim_orgao": "d_org",
+    "dim_tempo": "d_cal",
+    "dim_fornecedor": "d_sup",
+    "dim_fonte_recurso": "d_src",
+    "dim_aplicacao": "d_app",
+    "dim_alinea": "d_cls",
+    "dim_subalinea": "d_sub",
+    "fct_despesas": "f_exp",
+    "fct_receitas": "f_rev",
+}
 
 
 @_query(
-    " union all ".join(
-        f"""select '{t}' as "table", count(*) as rows from {t}""" for t in _PUBLISHED
+    sql(
+        " union all ".join(f"""select '{t}' as "table", count(*) as rows from {b}""" for t, b in _GOLD_BLOCKS.items()),
+        *_GOLD_BLOCKS.values(),
     )
 )
 def publish_counts(spark, sf):
+    """All Gold tables, built from the given tables and published."""
     root = scratch_path(spark, "published")
-    publish.publish(spark, {name: S.table(spark, sf, name) for name in _PUBLISHED}, root)
+    publish.publish_lake(_built_lake(spark, sf), root)
     return publish.published_counts(spark, root)
 
 
+@_query(
+    sql(
+        """select receita_sk, despesas, exercicio, mes, valor from (
+          select receita_sk, null::bigint as despesas, exercicio, mes, vl_arrecadacao as valor from f_rev
+          union all select null, count(*), exercicio, mes, cast(sum(vl_despesa) as decimal(18,2)) from f_exp group by all)""",
+        "f_exp",
+        "f_rev",
+    )
+)
+def publish_gold(spark, sf):
+    """Contents of the two published facts, read by year."""
+    root = scratch_path(spark, "published")
+    publish.publish_lake(_built_lake(spark, sf), root)
+    revenues = publish.read_published(spark, root, "fct_receitas")
+    expenses = publish.read_published(spark, root, "fct_despesas")
+    return revenues.select(
+        "receita_sk", F.lit(None).cast("bigint").alias("despesas"), "exercicio", "mes", F.col("vl_arrecadacao").alias("valor")
+    ).union(
+        expenses.groupBy("exercicio", "mes").agg(
+            F.count(F.lit(1)).alias("despesas"), F.sum("vl_despesa").cast("decimal(18,2)").alias("valor")
+        ).select(F.lit(None).cast("string"), "despesas", "exercicio", "mes", "valor")
+    )
+
+
 @_query(
     sql(
         """select municipio, exercicio, mes, receita, despesa, saldo,

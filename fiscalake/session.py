@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,17 +36,15 @@ def create_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only for local masters, where driver and
-    executors are one process.
+    Where that is unset it is set to a folder in the warehouse, which the driver and all
+    executors share as well; never to a folder of one machine alone.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    local = tempfile.mkdtemp(prefix="fiscalake-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    chosen = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    spark.conf.set("spark.checkpoint.dir", chosen)
+    return chosen
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

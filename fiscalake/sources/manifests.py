@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fiscalake.functions.parse import ASCII_WHITESPACE, iso_timestamp, seconds_between
+from fiscalake.functions.paths import plain_path
 from fiscalake.session import use_checkpoints
 
 # Statuses and the keys every line must have.
@@ -65,6 +66,7 @@ FULL_RUN_SCHEMA = T.StructType(
         T.StructField("failed_stage", T.StringType()),
         T.StructField("error_message", T.StringType()),
         T.StructField("manifest_line_number", T.LongType()),
+        T.StructField("manifest_file", T.StringType()),
     ]
 )
 
@@ -91,7 +93,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     lines = (
         spark.read.text(paths if isinstance(paths, str) else list(paths))
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            plain_path(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("position"),
             F.col("value").alias("line"),
@@ -149,7 +151,8 @@ def _unparsed(raw: str, parsed: Column) -> Column:
 def _split(lines: DataFrame, record: str, reason: Column, typed: Sequence[Column]) -> ParsedRuns:
     """Parse each line once and sort it into runs and rejects.
 
-    The one-element explode keeps the parsed line a value of its own: the optimizer
+    Both keep the number of the line and, where lines come from files, the file: only
+    together do they name one line. The one-element explode keeps the parsed line a value of its own: the optimizer
     would otherwise repeat the parsing for every condition that looks at it.
     """
     text = F.col("text")
@@ -158,18 +161,20 @@ def _split(lines: DataFrame, record: str, reason: Column, typed: Sequence[Column
         F.json_object_keys(text).alias("keys"),
         F.from_json(text, record).alias("r"),
     )
+    place = [F.col("line_number").cast("bigint").alias("manifest_line_number")]
+    if "file" in lines.columns:
+        place.append(F.col("file").alias("manifest_file"))
+    names = ["manifest_line_number", "manifest_file"][: len(place)]
     judged = (
-        lines.select("line_number", F.btrim("line", F.lit(ASCII_WHITESPACE)).alias("text"))
-        .select("line_number", F.explode(F.array(parsed)).alias("p"))
-        .select("line_number", "p", F.col("p.r").alias("r"))
+        lines.select(*place, F.btrim("line", F.lit(ASCII_WHITESPACE)).alias("text"))
+        .select(*names, F.explode(F.array(parsed)).alias("p"))
+        .select(*names, "p", F.col("p.r").alias("r"))
         .withColumn("reason", reason)
     )
     return ParsedRuns(
-        runs=judged.where(F.col("reason").isNull()).select(
-            *typed, F.col("line_number").cast("bigint").alias("manifest_line_number")
-        ),
+        runs=judged.where(F.col("reason").isNull()).select(*typed, *names),
         rejects=judged.where(F.col("reason").isNotNull()).select(
-            F.col("line_number").cast("bigint").alias("manifest_line_number"), "reason"
+            names[0], "reason", *names[1:]
         ),
     )
 
@@ -263,9 +268,10 @@ def parse_full_runs(lines: DataFrame) -> ParsedRuns:
 
 def require_no_rejects(parsed: ParsedRuns) -> DataFrame:
     """The runs, or an error naming the first bad line."""
-    first = parsed.rejects.orderBy("manifest_line_number").take(1)
+    first = parsed.rejects.orderBy(*parsed.rejects.columns[2:], "manifest_line_number").take(1)
     if first:
-        raise ManifestError(f"line {first[0].manifest_line_number}: {first[0].reason}")
+        line, reason, *file = first[0]
+        raise ManifestError(": ".join([*file, f"line {line}", reason]))
     return parsed.runs
 
 
