@@ -40,10 +40,14 @@ def period_plan(
     )
 
 
+def recurring_range(today: date, previous_year: bool = True) -> tuple[int, int, int]:
+    """First year, last year and last month of a recurring load."""
+    return (today.year - 1 if previous_year else today.year), today.year, today.month
+
+
 def recurring_plan(spark: SparkSession, today: date, previous_year: bool = True) -> DataFrame:
     """The current year to date, with the whole previous year unless switched off."""
-    start = today.year - 1 if previous_year else today.year
-    return period_plan(spark, start, today.year, today.month)
+    return period_plan(spark, *recurring_range(today, previous_year))
 
 
 def load_plan(plan: DataFrame, datasets: Sequence[str] = DATASETS) -> DataFrame:

@@ -74,14 +74,17 @@ def quality_profile(bronze: DataFrame, dataset: str, with_municipality: bool = F
         for i, (metric, column) in enumerate(counters)
     ]
     duplicates = duplicate_contents(bronze, dataset, with_municipality).agg(
-        F.count(F.lit(1)).alias("value")
+        F.count(F.lit(1)).alias("groups"),
+        F.coalesce(F.sum(F.col("quantidade") - 1), F.lit(0)).alias("excess"),
     )
-    return counted.select(F.inline(F.array(*rows))).unionByName(
-        duplicates.select(
-            F.lit("exact_duplicate_groups").alias("metric"),
-            F.lit(None).cast("string").alias("column"),
-            "value",
+    of_duplicates = [
+        F.struct(
+            F.lit(metric).alias("metric"), F.lit(None).cast("string").alias("column"), F.col(name).alias("value")
         )
+        for metric, name in (("exact_duplicate_groups", "groups"), ("exact_duplicate_excess_rows", "excess"))
+    ]
+    return counted.select(F.inline(F.array(*rows))).unionByName(
+        duplicates.select(F.inline(F.array(*of_duplicates)))
     )
 
 

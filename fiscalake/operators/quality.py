@@ -72,6 +72,11 @@ def partition_mismatch() -> Column:
     return ~(same_year & same_month)
 
 
+def _sql_text(text: str) -> str:
+    """A SQL string literal; every sign of ``text`` stands for itself."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def check_rows(counted: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """One row per (check, column, severity) from a one-row frame of counters r0, r1, ...
 
@@ -79,8 +84,8 @@ def check_rows(counted: DataFrame, rules: Sequence[tuple[str, str, str]]) -> Dat
     calls into the JVM when all tables are checked.
     """
     rows = ", ".join(
-        f"struct('{check}' as check, '{column}' as column, '{severity}' as severity, "
-        f"cast(coalesce(r{i}, 0) as bigint) as failures)"
+        f"struct({_sql_text(check)} as check, {_sql_text(column)} as column, "
+        f"{_sql_text(severity)} as severity, cast(coalesce(r{i}, 0) as bigint) as failures)"
         for i, (check, column, severity) in enumerate(rules)
     )
     return counted.select(F.expr(f"inline(array({rows}))"))

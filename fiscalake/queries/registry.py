@@ -503,6 +503,60 @@ def dq_contract(spark, sf):
     return contracts.check_contract(S.defective_expenses(spark, sf), _CONTRACT)
 
 
+def _revenue_contract_sql() -> str:
+    """Fixed values of the revenue contract, written out."""
+    columns = (
+        "municipio exercicio mes orgao ds_fonte_recurso ds_cd_aplicacao_fixo ds_alinea ds_subalinea "
+        "vl_arrecadacao arquivo_origem"
+    ).split()
+    found = [("nullable", c, "error", f"{c} is null") for c in columns if c != "ds_subalinea"]
+    found += [
+        ("accepted_values", "mes", "error", "mes not between 1 and 12"),
+        ("valid_month", "mes", "error", "mes is null or mes not between 1 and 12"),
+        ("valid_revenue_value", "vl_arrecadacao", "error", "vl_arrecadacao is null"),
+        ("optional_subalinea", "ds_subalinea", "informational", "ds_subalinea is null"),
+        ("partition_month_consistency", "mes", "error", _BAD_PATH),
+    ]
+    found += [(kind, c, "error", "false") for kind in ("column_present", "column_type") for c in columns]
+    counted = [
+        f"""select '{check}' as "check", '{c}' as "column", '{severity}' as severity,
+        count(*) filter ({test}) as failures from stg_rev_bad"""
+        for check, c, severity, test in found
+    ]
+    counted.append(
+        f"""select 'potential_exact_duplicates', '*', 'warning', count(*) from (
+        select 1 from stg_rev_bad group by {REVENUE_CONTENT} having count(*) > 1)"""
+    )
+    return sql(" union all ".join(counted), "stg_rev_bad")
+
+
+@_query(_revenue_contract_sql())
+def dq_contract_revenue(spark, sf):
+    return contracts.check_contract(S.defective_revenues(spark, sf), contracts.REVENUE_CONTRACT)
+
+
+@_query(
+    sql(
+        """select schema_keys, count(*) filter (n > 0) as files, sum(n)::bigint as records
+        from (select exercicio, mes_particao, count(*) as n,
+                'dt_emissao_despesa,evento,id_fornecedor,mes,nm_fornecedor,nr_empenho,orgao,vl_despesa' as schema_keys
+              from raw_exp where mes_particao <> 5 group by all)
+        group by schema_keys
+        union all select 'empty', count(distinct exercicio), 0 from raw_exp where mes_particao = 5""",
+        "raw_exp",
+    )
+)
+def profile_schema_landed(spark, sf):
+    """Fields, files and records of landed snapshots; every May is landed without records."""
+    root = scratch_path(spark, "bronze")
+    records = _orders_as_records(spark, sf).withColumn("municipio", F.lit("m"))
+    planned = records.select(*snapshots.PARTITION).distinct()
+    landing.write_snapshots(records.where("mes_particao <> 5"), root, EXPENSES, S.STAMP, planned)
+    found = profile.profile_dataset_schema(spark, root, EXPENSES)
+    empty = found["totals"].select(F.lit("empty"), "empty_files", F.lit(0).cast("bigint"))
+    return found["schemas"].union(empty)
+
+
 # Table -> building block of the SQL side.
 _BLOCKS = {
     "stg_despesas": "stg_exp",
@@ -695,11 +749,12 @@ def _profile_sql() -> str:
         for metric, column, test in counts
     ]
     content = ", ".join(BRONZE_COLUMNS[EXPENSES])
-    parts.append(
-        f"""select 'exact_duplicate_groups', null, count(*) from (
-        select 1 from raw_bad
+    groups = f"""select count(*) as n from raw_bad
         group by {content}, regexp_extract(arquivo_origem, 'exercicio=([0-9]{{4}})', 1)
-        having count(*) > 1)"""
+        having count(*) > 1"""
+    parts.append(f"select 'exact_duplicate_groups', null, count(*) from ({groups})")
+    parts.append(
+        f"select 'exact_duplicate_excess_rows', null, cast(coalesce(sum(n - 1), 0) as bigint) from ({groups})"
     )
     return sql(" union all ".join(parts), "raw_bad")
 
@@ -816,6 +871,34 @@ def ops_period_gaps(spark, sf):
     return periods.missing_periods(plan, loads)
 
 
+@_query(
+    """select d as dataset, 'm' || user_id as municipio, cast(m // 12 as integer) as exercicio,
+      cast(m % 12 + 1 as integer) as mes
+    from (select distinct user_id from events) u, (select unnest(['despesas', 'receitas']) as d),
+      (select unnest(range((year(t) - 1) * 12, year(t) * 12 + month(t))) as m from (select max(ts) as t from events))
+    where not exists (select 1 from events e where e.user_id = u.user_id and e.event_type = 'view'
+      and m = year(e.ts) * 12 + month(e.ts) - 1
+      and d = case when e.event_id % 2 = 0 then 'despesas' else 'receitas' end)"""
+)
+def ops_recurring_gaps(spark, sf):
+    """Months that a recurring load as of the last event still lacks; views are its loads."""
+    events = S.table(spark, sf, "events")
+    today = events.agg(F.max("ts").cast("date")).first()[0]
+    municipality = F.concat(F.lit("m"), F.col("user_id").cast("string"))
+    municipalities = events.select(municipality.alias("municipio")).distinct()
+    plan = periods.load_plan(
+        periods.with_months(municipalities, *periods.recurring_range(today))
+    )
+    loads = events.where("event_type = 'view'").select(
+        F.when(F.col("event_id") % 2 == 0, EXPENSES).otherwise(REVENUES).alias("dataset"),
+        municipality.alias("municipality"),
+        F.year("ts").alias("year"),
+        F.month("ts").alias("month"),
+        F.lit("success").alias("status"),
+    )
+    return periods.missing_periods(plan, loads)
+
+
 @_query(
     sql(
         """select max(completed_at_utc) as last_extraction_at, count(*) as calls,
@@ -904,6 +987,15 @@ def ingestion_runs_from_files(spark, sf):
 
 # ---- serving ---------------------------------------------------------------------
 
+@_query(rows("full_runs"))
+def publish_ops_runs(spark, sf):
+    """Run records, published as a table and read back."""
+    parsed = manifests.parse_full_runs(S.full_run_lines(spark, sf)).runs
+    root = scratch_path(spark, "published")
+    publish.publish(spark, {"ops.pipeline_runs": parsed}, root)
+    return publish.read_published(spark, root, "ops.pipeline_runs")
+
+
 _GOLD_BLOCKS = {
     "dim_municipio": "d_mun",
     "dim_orgao": "d_org",
