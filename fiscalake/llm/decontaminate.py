@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalake.llm.common import table
+from fiscalake.llm.common import stored, table
 
 WINDOW = 13
 #: Contaminated from one hit word in so many.
@@ -248,15 +248,16 @@ def _search_block(rows: DataFrame, items: list[tuple[str, str]], keep_text: bool
     )
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item_id"), "text"
     )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes) or 1
-    for k in range(n):
-        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k
-        yield [(r["item_id"], r["text"]) for r in items.where(block).toLocalIterator()]
+
+
+def _block(items: DataFrame, k: int, n: int) -> list[tuple[str, str]]:
+    """The items of one of ``n`` blocks; about ``block_bytes`` each."""
+    chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+    return [(r["item_id"], r["text"]) for r in chosen.toLocalIterator()]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -272,9 +273,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
         F.array().cast("array<bigint>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    blocks = list(_blocks(benchmark, block_bytes))
-    for k, items in enumerate(blocks):
-        rows = _search_block(rows, items, keep_text=k + 1 < len(blocks))
+    items = _items(benchmark)
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-total // block_bytes) or 1
+    for k in range(n):
+        last = k + 1 == n
+        rows = _search_block(rows, _block(items, k, n), keep_text=not last)
+        if not last:  # the driver holds one block at a time
+            rows = stored(rows, "searched")
     odd = lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)
     n_hit = F.aggregate(F.transform("spans", odd), F.lit(0).cast("long"), lambda total, x: total + x)
     found = rows.withColumn("n_hit", n_hit)
