@@ -52,8 +52,10 @@ PARTITIONED_SCHEMAS = {
 }
 
 # Few, evenly filled folders that most reports filter on. Snapshot files hold one
-# month each, but tasks that read many of them write to many years.
+# month each, so tables that are not shuffled are written by year as they come. The rows
+# of revenue occurrences leave a shuffle, after which every task has rows of all years.
 YEAR_PARTITION = ("exercicio",)
+SHUFFLED_TABLES = ("fct_receitas",)
 
 
 def partitioning(table: str) -> tuple[str, ...]:
@@ -82,11 +84,11 @@ class Lake:
     def write(self, table: str, df: DataFrame) -> None:
         """Replace a table by a full rebuild.
 
-        A table with years is rebalanced by them first, else every task of a shuffle would
+        Rows that come from a shuffle are rebalanced by year first, else every task would
         open a file for every year; a large year is split over tasks.
         """
         years = partitioning(table)
-        dealt = df.hint("rebalance", *years) if years else df
+        dealt = df.hint("rebalance", *years) if table in SHUFFLED_TABLES else df
         dealt.write.mode("overwrite").partitionBy(*years).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:

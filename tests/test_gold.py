@@ -1,6 +1,7 @@
 """Golden rows of every dimension and fact, and the numbering of copies."""
 
 import hashlib
+import re
 from collections import Counter
 from datetime import date
 from decimal import Decimal
@@ -285,3 +286,60 @@ def test_reconciliation(frames):
     short = reconcile_revenues(rev, revenues.where("nr_ocorrencia = 1"), places).collect()
     assert [(r.municipio, r.exercicio, r.mes) for r in short] == [("salto", 2021, 2)]
     assert (short[0].valor_silver, short[0].valor_gold) == (Decimal("10.00"), Decimal("5.00"))
+
+
+def _dimensions(spark, expenses, revenues, subclass):
+    return FC.RevenueDimensions(
+        D.dim_municipality(expenses, revenues),
+        D.dim_organisation(expenses, revenues),
+        D.dim_source(revenues),
+        D.dim_application(revenues),
+        D.dim_class(revenues),
+        subclass,
+    )
+
+
+def test_revenue_keys_are_unique_without_a_year(spark):
+    rows = [revenue_row(exercicio=None, mes=m) for m in (1, 2, 2)] + [revenue_row(exercicio=2020, mes=None)]
+    fact = FC.fct_revenue(spark.createDataFrame(rows, REVENUE)).collect()
+    assert len(fact) == 4 and len({r.receita_sk for r in fact}) == 4
+    assert len({r.receita_fingerprint for r in fact}) == 1
+
+
+def test_revenue_keys_are_unique_where_members_are_missing(spark):
+    texts = (None, "11 - A", "12 - B", "12 - B", "13 - C")
+    revenues = spark.createDataFrame([revenue_row(ds_subalinea=t) for t in texts], REVENUE)
+    expenses = spark.createDataFrame([expense_row()], EXPENSE)
+    known = D.dim_subclass(revenues).where("ds_subalinea = '11 - A' or is_nao_informada")
+    fact = FC.fct_revenue(revenues, _dimensions(spark, expenses, revenues, known)).collect()
+    assert len(fact) == 5 and len({r.receita_sk for r in fact}) == 5
+    assert sorted(r.nr_ocorrencia for r in fact if r.subalinea_sk == "-1") == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("kind", ["expense", "revenue"])
+def test_fact_rows_never_move_by_municipality(spark, kind):
+    """With nothing broadcast, only distinct tuples and dimensions meet on these keys."""
+    expenses = spark.createDataFrame([expense_row()], EXPENSE)
+    revenues = spark.createDataFrame([revenue_row()], REVENUE)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        if kind == "expense":
+            dims = FC.ExpenseDimensions(
+                D.dim_municipality(expenses, revenues), D.dim_organisation(expenses, revenues), D.dim_supplier(expenses)
+            )
+            fact, amount = FC.fct_expense(expenses, dims), "vl_despesa"
+        else:
+            fact = FC.fct_revenue(revenues, _dimensions(spark, expenses, revenues, D.dim_subclass(revenues)))
+            amount = "vl_arrecadacao"
+        plan = spark._jvm.PythonSQLUtils.explainString(fact._jdf.queryExecution(), "formatted")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((.*), \d+\)", plan)
+    assert exchanges
+    for columns, keys in exchanges:
+        names = [k.strip().split("#")[0].split("(")[-1] for k in keys.split(",")]
+        if amount in columns:
+            assert not set(names) <= {"municipio", "orgao"}, names
