@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from fiscalake.session import scratch_path
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_PER_BATCH = 500
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -30,7 +33,15 @@ def lower_ascii(text: Column) -> Column:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: lineage ends, executors may be lost."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Written to the shared folder and read back: lineage ends, executors may be lost.
+
+    Python tasks get their rows in small batches meanwhile: rows hold whole texts.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, ROWS_PER_BATCH)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)

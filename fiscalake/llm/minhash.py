@@ -124,9 +124,8 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a in range(0, len(texts), 500):
-                sets = shingler.sets(texts[a : a + 500])
+            for a in range(0, batch.num_rows, 500):
+                sets = shingler.sets(batch.column("text").slice(a, 500).to_pylist())
                 full = [k for k, s in enumerate(sets) if len(s)]
                 digests = [hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest() for k in full]
                 minima = signatures([sets[k] for k in full])
@@ -190,11 +189,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
         for batch in batches:
             names = ["x", "part", "role", "id", "text"]
             found_x, found_y = [], []
-            columns = [batch.column(n).to_pylist() for n in names]
-            for a in range(0, len(columns[0]), 500):
-                sets = shingler.sets(columns[4][a : a + 500])
-                for k, found in enumerate(sets, a):
-                    x, part, role, y = (columns[c][k] for c in range(4))
+            for a in range(0, batch.num_rows, 500):
+                columns = [batch.column(n).slice(a, 500).to_pylist() for n in names]
+                for x, part, role, y, found in zip(*columns[:4], shingler.sets(columns[4])):
                     if role == 0:
                         own = [*own, found] if centre == (x, part) else [found]
                         centre = (x, part)
