@@ -8,8 +8,14 @@ how they go together with what the texts say, so unrelated evidence weighs nothi
 host's prior is its own mixture of languages, smoothed by its domain's and that by the
 overall one, without the document itself. All of these come from grouped sums.
 
-A document is rejected if its text has no trigram or no language reaches the least
-confidence.
+A document is rejected if its text has no trigram, if no language reaches the least
+confidence, or if the text is in none of the languages. For the latter a uniform model of
+trigrams stands beside the languages: of the trigrams inside words the language that
+explains most must explain a least share better than the uniform model does. That share is
+learned: a low quantile of the labelled documents, less a margin that is wider for short
+texts. Numbers, addresses and marks between words do not count, so a text full of them is
+judged by its words; a text without words is judged by all its trigrams. A short text in a
+language that shares most of its trigrams with one of ``LANGUAGES`` can still pass.
 
 Cases: a null or empty text, or one under three bytes, is rejected, its language is what
 the other evidence says; labels outside ``LANGUAGES`` and null labels do not train; without
@@ -38,6 +44,10 @@ GRAM_WEIGHT, MOST_GRAMS = 0.2, 500
 #: Pseudo-counts: of a trigram, of the prior of a host or domain, of declarations and suffixes.
 GRAM_SMOOTHING, HOST_SMOOTHING, EVIDENCE_SMOOTHING = 0.5, 20.0, 5.0
 LEAST_CONFIDENCE = 0.4
+#: Share of trigrams that a language must explain: quantile of the labelled texts of so many
+#: trigrams at least, the bounds it is held in, the margin below it and that of one trigram.
+SHARE_QUANTILE, SHARE_GRAMS = 0.001, 20
+SHARE_BOUNDS, SHARE_MARGIN, SHARE_SPREAD = (0.3, 0.75), 0.1, 1.5
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _DECLARED = r"(?i)<html\b[^>]*?\slang\s*=\s*[\x22']?([a-z]{2,3})"
@@ -52,6 +62,28 @@ def gram_slots(text: str | None) -> np.ndarray:
     return (packed * np.uint32(2654435761) >> np.uint32(32 - 15)).astype(np.int64)
 
 
+def inside_words(text: str | None) -> np.ndarray:
+    """Which byte trigrams have a letter in the middle and letters or blanks beside it."""
+    raw = np.frombuffer((text or "").encode("utf-8").translate(_FOLD), dtype=np.uint8)
+    if len(raw) < 3:
+        return np.empty(0, dtype=bool)
+    letter = (raw >= 0x80) | ((raw >= 0x61) & (raw <= 0x7A))
+    beside = letter | (raw == 0x20) | (raw == 0x0A)
+    return beside[:-2] & letter[1:-1] & beside[2:]
+
+
+def explained_share(text: str | None, found: np.ndarray) -> tuple[int, float]:
+    """Trigrams judged, and the largest share of them that a language explains better than chance.
+
+    ``found`` has the log likelihood of every trigram (row) in every language (column).
+    """
+    words = inside_words(text)
+    judged = found[words] if words.any() else found
+    if not len(judged):
+        return 0, 0.0
+    return len(judged), float((judged > -np.log(BUCKETS)).mean(axis=0).max())
+
+
 def gram_counts(docs: DataFrame, languages=LANGUAGES) -> np.ndarray:
     """Counts of every slot and language over all rows of ``docs`` (text, lang).
 
@@ -84,31 +116,43 @@ def gram_weights(counts: np.ndarray) -> np.ndarray:
 
 
 def text_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(doc_id, source, n_grams, scores) of every row: the text's log likelihoods."""
+    """(doc_id, source, lang, n_grams, scores, judged, share) of every row.
+
+    ``scores`` are the text's log likelihoods, ``judged`` and ``share`` its ``explained_share``.
+    """
     packed, n_languages = weights.tobytes(), weights.shape[1]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.frombuffer(packed, dtype=np.float32).reshape(-1, n_languages)
         for batch in batches:
-            grams, scores = [], []
+            grams, scores, judged, shares = [], [], [], []
             for text in batch.column("text").to_pylist():
                 slots = gram_slots(text)
                 n = len(slots)
                 scale = GRAM_WEIGHT * min(n, MOST_GRAMS) / max(n, 1)
                 grams.append(n)
-                scores.append(weight[slots].sum(axis=0, dtype=np.float64) * scale)
+                found = weight[slots]
+                scores.append(found.sum(axis=0, dtype=np.float64) * scale)
+                of, share = explained_share(text, found)
+                judged.append(of)
+                shares.append(share)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "source": batch.column("source"),
+                    "lang": batch.column("lang"),
                     "n_grams": pa.array(grams, pa.int64()),
                     "scores": pa.array(scores, pa.list_(pa.float64())),
+                    "judged": pa.array(judged, pa.int64()),
+                    "share": pa.array(shares, pa.float64()),
                 }
             )
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), "text").mapInArrow(
-        score, f"doc_id {key}, source string, n_grams bigint, scores array<double>"
+    text = lambda name: F.col(name).cast("string").alias(name)
+    return docs.select("doc_id", text("source"), text("lang"), "text").mapInArrow(
+        score,
+        f"doc_id {key}, source string, lang string, n_grams bigint, scores array<double>, judged bigint, share double",
     )
 
 
@@ -181,7 +225,8 @@ def identify_languages(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -
         scored.withColumns({"host": F.coalesce("host", "source"), "p": _softmax(F.col("scores"))}),
         "language-scores",
     )
-    whole = rows.agg(F.count(F.lit(1)), *_sums(n, "g")).first()
+    usual = F.when(F.col("lang").isin(*languages) & (F.col("judged") >= SHARE_GRAMS), F.col("share"))
+    whole = rows.agg(F.count(F.lit(1)), *_sums(n, "g"), F.percentile_approx(usual, SHARE_QUANTILE)).first()
     overall = [((whole[1 + k] or 0.0) + 1) / ((whole[0] or 0) + n) for k in range(n)]
     joined = (
         rows.join(_host_counts(rows, n), "host", "left")
@@ -206,7 +251,11 @@ def identify_languages(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -
     posterior = joined.withColumn("posterior", _softmax(scores)).withColumn("confidence", F.array_max("posterior"))
     best = (F.array_position("posterior", F.col("confidence")) - 1).cast("int")
     trained = bool((weights.max(axis=1) > weights.min(axis=1)).any())
-    kept = (F.col("n_grams") > 0) & (F.col("confidence") >= LEAST_CONFIDENCE) & F.lit(trained)
+    low, high = SHARE_BOUNDS
+    least = min(max(whole[1 + n] or low, low), high) - SHARE_MARGIN
+    needed = F.greatest(F.lit(low), F.lit(least) - SHARE_SPREAD / F.sqrt(F.greatest(F.col("judged"), F.lit(1))))
+    known = F.col("share") >= needed
+    kept = (F.col("n_grams") > 0) & (F.col("confidence") >= LEAST_CONFIDENCE) & known & F.lit(trained)
     return posterior.select(
         "doc_id",
         F.get(F.array(*[F.lit(x) for x in languages]), best).alias("language"),

@@ -46,3 +46,24 @@ def test_odd_texts_repeats_and_no_rows(frame):
     assert lg.identify_languages(frame([], DOCS), frame([], PAGES)).count() == 0
     unlabelled = frame([(1, "some text", None, None)], DOCS)
     assert [r.kept for r in lg.identify_languages(unlabelled, frame([], PAGES)).collect()] == [False]
+
+
+FOREIGN = [
+    "Сегодня хорошая погода, и мы пошли гулять в парк со своими друзьями и собакой.",
+    "Oggi il tempo è bello e siamo andati a passeggiare nel parco con i nostri amici e il cane.",
+    "Dzisiaj jest ładna pogoda i poszliśmy na spacer do parku z naszymi przyjaciółmi i psem.",
+    "今天天气很好，我们和朋友们带着狗去公园散步。",
+    " ".join(str(k * k * 7919 % 10**6) for k in range(50)),
+    "NFZFsXNUuQKUDKvy4p5DKYNPcMWFVzWZCNDeXu3GIVx2XX1CH2pT7mHIVYygPK9s6WnzWxGXMQvLrLFybgDYBz" * 3,
+    "-" * 300,
+]
+
+
+def test_foreign_and_non_language_texts_are_rejected(frame):
+    private = '4734663219866878$$$ token = "40d78a45c418324758e099eb7cb89bc0f5fa9f62"### +1 (168) 555-5254 {}'
+    clean = [(500 + k, text(lang, 50 + k), None, "src1") for k, lang in enumerate(SYLLABLES)]
+    clean += [(510 + k, private.format(text(lang, 60, 6)), None, "src1") for k, lang in enumerate(SYLLABLES)]
+    rows = corpus() + clean + [(600 + k, t, None, "src1") for k, t in enumerate(FOREIGN)]
+    got = {r.doc_id: r for r in lg.identify_languages(frame(rows, DOCS), frame([], PAGES)).collect()}
+    assert [d for d in got if d >= 600 and got[d].kept and d < 700] == []
+    assert all(got[d].kept for d in got if d < 600)
