@@ -40,16 +40,17 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
-#: One pattern for all candidates; which kind one is, is read from it afterwards.
+#: One pattern for all candidates; which kind one is, is read from it afterwards. Runs are open
+#: and possessive: a value is found to its end, however long it is.
 CANDIDATE = (
     r"(?<![A-Za-z0-9_])(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\x20{0,3}[=:]\x20{0,3}"
-    r"[\x22']?[A-Za-z0-9_./+=-]{8,200}[\x22']?"
+    r"[\x22']?[A-Za-z0-9_./+=-]{8,}+[\x22']?"
     r"|(?<![A-Za-z0-9])[A-Z]{4}[A-Z0-9]{16}(?![A-Za-z0-9])"
-    r"|(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])"
     r"|(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
     r"|(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])"
-    r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}"
-    r"(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63}){1,8}"
+    r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++"
+    r"(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]++)++"
 )
 #: Words that announce personal data, and values that stand for none.
 ANNOUNCED = r"(?i)(?:password|passwd|pwd|token|secret|key|login|ssn|social|passport|phone|tel|call|fax|mobile|mail|contact|write|reach)[^A-Za-z]{0,12}$"

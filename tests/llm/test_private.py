@@ -1,3 +1,4 @@
+import random
 import re
 
 from llm.conftest_llm import ODD_TEXTS
@@ -82,3 +83,21 @@ def test_redaction_keeps_rows_and_columns(frame):
 def test_no_rows(frame):
     empty = frame([], "doc_id bigint, text string")
     assert private.find_private(empty).count() == 0 and private.redact(empty).count() == 0
+
+
+def test_long_candidates_are_found_to_their_end(frame):
+    draw = random.Random(3)
+    run = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    mixed, hexes = "abcdefghijkmnpqrstuvwyzABCDEFGHIJKLMNPQRSTUVWYZ23456789", "0123456789abcdef"
+    values = [f"token={run(mixed, n)}" for n in (201, 520, 5000)]
+    values += [run(hexes, n) for n in (129, 160, 4000)]
+    values += [f"{run(mixed, n)} [at] {run(mixed, m)}" + f" [dot] {run(mixed, m)}" * k for n, m, k in ((65, 9, 1), (3000, 70, 12))]
+    rows = [(k, f"login {v}, end") for k, v in enumerate(values)] + [(100 + k, SECRETS) for k in range(20)]
+    rows += [(200 + k, f"write to joe{k}smith [at] mail{k} [dot] com") for k in range(20)]
+    docs = frame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in private.find_private(docs).collect()}
+    clean = {r.doc_id: r.text for r in private.redact(docs).collect()}
+    for k, v in enumerate(values):
+        kind = "spelled_email" if "[at]" in v else "secret"
+        assert f"{kind}:6:{6 + len(v)}" in found[k].split(","), (k, found[k])
+        assert clean[k] == f"login [{kind.upper()}], end"
