@@ -8,12 +8,15 @@ pass the filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalake.llm import bpe, decontaminate, language, minhash, private
 from fiscalake.llm.common import stored, table
 
+#: A character of a word, as near-duplicates split them.
+WORD = r"[^\x20\x09-\x0D]"
+
 
 def _without(docs: DataFrame, judged: DataFrame, kept) -> DataFrame:
     """``docs`` without the ids that have judged rows but no kept one."""
@@ -26,12 +29,33 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _without(docs, found, F.col("kept"))
 
 
+def _repeats(rows: DataFrame, group: Column) -> DataFrame:
+    """``__n`` of all ``rows`` but the first of each group: with an id, of the least id."""
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__rest", "__n")
+    marked = rows.select("__n", order.alias("o"), group.alias("g"))
+    first = marked.groupBy("g").agg(F.min("o").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    kept = stored(first.select("g", F.col("first.__n").alias("kept")), "first")
+    return marked.join(kept, "g").where(F.col("__n") != F.col("kept")).select("__n")
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; of exactly repeated rows of an id, one row."""
-    found = minhash.near_duplicates(docs)
-    first = docs.where(F.col("doc_id").isNotNull())
-    kept = _without(first, found, F.col("kept"))
-    return kept.union(docs.where(F.col("doc_id").isNull()))
+    """One row of each group of near-duplicates stays, and one of equal texts.
+
+    Rows are told apart by a number, not by their id: several texts of an id are judged each,
+    and rows without an id like others. The row with the least id stays. Texts without words
+    are near nothing; of those only equal rows of an id become one.
+    """
+    rest = F.xxhash64(F.lit(0), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    numbered = stored(docs.withColumns({"__n": F.monotonically_increasing_id(), "__rest": rest}), "numbered")
+    text = F.coalesce("text", F.lit(""))
+    own = F.when(text.rlike(WORD), F.lit("")).otherwise(F.to_json(F.struct("doc_id", F.col("text").isNull())))
+    keyed = numbered.withColumn("__key", F.sha2(F.concat(own, F.lit("|"), text), 256))
+    repeats = stored(_repeats(keyed, F.col("__key")), "repeats")
+    single = numbered.join(repeats, "__n", "left_anti")
+    found = minhash.near_duplicates(single.select(F.col("__n").alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("__n"), "component_id")
+    near = _repeats(single.select("__n", "doc_id", "__rest").join(groups, "__n"), F.col("component_id"))
+    return single.join(stored(near, "near"), "__n", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

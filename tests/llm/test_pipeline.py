@@ -67,3 +67,23 @@ def test_odd_rows_pass_every_stage(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = spark.createDataFrame(stage(spark, docs, SF_DIR).collect(), stage(spark, docs, SF_DIR).schema)
         assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def documents(spark, rows):
+    """Rows (doc_id, text) as documents in several partitions."""
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    values = [dict(doc_id=d, text=t, lang="en", source="s", n_chars=len(t or "")) for d, t in rows]
+    return spark.createDataFrame([tuple(v[c] for c in schema.names) for v in values], schema).repartition(3)
+
+
+def survivors(stage, docs):
+    return sorted(((r.doc_id, r.text) for r in stage(docs.sparkSession, docs, SF_DIR).collect()), key=repr)
+
+
+def test_copies_become_one_row(spark, prose):
+    a, b, c, d = (prose(k, 80) for k in range(4))
+    rows = [(5, a), (9, a), (9, a + " end"), (7, b), (7, c), (None, d), (None, d), (None, b), (3, ""), (3, ""), (4, "")]
+    rows += [(6, None), (None, None)]
+    want = [(5, a), (7, b), (7, c), (None, d), (3, ""), (4, ""), (6, None), (None, None)]
+    got = survivors(corpus_pipeline.near_duplicate_stage, documents(spark, rows * 2))
+    assert got == sorted(want, key=repr)
