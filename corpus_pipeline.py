@@ -1,9 +1,9 @@
 """A corpus pipeline: language, near-duplicates, benchmarks, personal data, tokens.
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage before it
-kept. What a stage rejects is stored as ids, whose measured size decides whether Spark
-broadcasts them or joins by shuffling. Rows without an id cannot be told apart by ids and
-pass the filters.
+kept. Each row has its own verdict, also without an id or with an id that others have.
+What a stage rejects is stored as short keys, whose measured size decides whether Spark
+broadcasts them or joins by shuffling.
 """
 
 from __future__ import annotations
@@ -18,15 +18,25 @@ from fiscalake.llm.common import stored, table
 WORD = r"[^\x20\x09-\x0D]"
 
 
-def _without(docs: DataFrame, judged: DataFrame, kept) -> DataFrame:
-    """``docs`` without the ids that have judged rows but no kept one."""
-    rejected = judged.groupBy("doc_id").agg(F.max(kept).alias("any_kept")).where(~F.col("any_kept"))
-    return docs.join(stored(rejected.select("doc_id"), "rejected"), "doc_id", "left_anti").select(*docs.columns)
+KEY = "__key"
+
+
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` with KEY, a digest of ``text`` and ``columns``: all that a verdict depends on."""
+    others = F.to_json(F.struct(F.col("text").isNull().alias("null"), *columns))
+    return docs.withColumn(KEY, F.sha2(F.concat(others, F.coalesce("text", F.lit(""))), 256))
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose own KEY is in ``rejected``, and without KEY."""
+    keys = stored(rejected.select(KEY).distinct(), "rejected")
+    return keyed.join(keys, KEY, "left_anti").drop(KEY)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.identify_languages(docs, table(spark, sf_dir, "pages"))
-    return _without(docs, found, F.col("kept"))
+    keyed = _keyed(docs, "doc_id", "source")
+    found = language.identify_languages(keyed, table(spark, sf_dir, "pages"), carry=[KEY])
+    return _without(keyed, found.where(~F.col("kept")))
 
 
 def _repeats(rows: DataFrame, group: Column) -> DataFrame:
@@ -59,8 +69,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found, ~F.col("contaminated"))
+    keyed = _keyed(docs)
+    found = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), carry=[KEY])
+    return _without(keyed, found.where("contaminated"))
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ documents are judged each; an empty benchmark leaves all clean; other columns ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -223,7 +223,7 @@ def _slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _search_block(rows: DataFrame, items: list[tuple[str, str]], keep_text: bool) -> DataFrame:
+def _search_block(rows: DataFrame, items: list[tuple[str, str]], keep_text: bool, carry: list[str]) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(items)
         for batch in batches:
@@ -233,7 +233,7 @@ def _search_block(rows: DataFrame, items: list[tuple[str, str]], keep_text: bool
                 counts, spans, found = search_shard(texts[a:b], phrases)
                 earlier = columns["spans"].slice(a, b - a).to_pylist()
                 listed = columns["items"].slice(a, b - a).to_pylist()
-                out = {"doc_id": columns["doc_id"].slice(a, b - a)}
+                out = {name: columns[name].slice(a, b - a) for name in ["doc_id", *carry]}
                 if keep_text:
                     out["text"] = columns["text"].slice(a, b - a)
                 out["n_words"] = pa.array(counts, pa.int64())
@@ -243,8 +243,9 @@ def _search_block(rows: DataFrame, items: list[tuple[str, str]], keep_text: bool
 
     key = rows.schema["doc_id"].dataType.simpleString()
     text = ", text string" if keep_text else ""
+    carried = "".join(f", {name} string" for name in carry)
     return rows.mapInArrow(
-        search, f"doc_id {key}{text}, n_words bigint, spans array<bigint>, items array<string>"
+        search, f"doc_id {key}{carried}{text}, n_words bigint, spans array<bigint>, items array<string>"
     )
 
 
@@ -260,14 +261,17 @@ def _block(items: DataFrame, k: int, n: int) -> list[tuple[str, str]]:
     return [(r["item_id"], r["text"]) for r in chosen.toLocalIterator()]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, carry: Sequence[str] = ()
+) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans, contaminated) of every row of ``docs``.
 
     ``items`` are the sorted ids whose windows occur, ``spans`` the word ranges to remove,
-    as [start, end, start, end, ...].
+    as [start, end, start, end, ...]. The text columns in ``carry`` are returned as well.
     """
     rows = docs.select(
         "doc_id",
+        *carry,
         "text",
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<bigint>").alias("spans"),
@@ -278,14 +282,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
     n = -(-total // block_bytes) or 1
     for k in range(n):
         last = k + 1 == n
-        rows = _search_block(rows, _block(items, k, n), keep_text=not last)
+        rows = _search_block(rows, _block(items, k, n), keep_text=not last, carry=list(carry))
         if not last:  # the driver holds one block at a time
             rows = stored(rows, "searched")
     odd = lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)
     n_hit = F.aggregate(F.transform("spans", odd), F.lit(0).cast("long"), lambda total, x: total + x)
     found = rows.withColumn("n_hit", n_hit)
     dirty: Column = (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words"))
-    return found.select("doc_id", "n_words", "n_hit", "items", "spans", dirty.alias("contaminated"))
+    return found.select("doc_id", "n_words", "n_hit", "items", "spans", dirty.alias("contaminated"), *carry)
 
 
 def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ language; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +115,11 @@ def gram_weights(counts: np.ndarray) -> np.ndarray:
     return np.log(shares / shares.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
 
 
-def text_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+def text_scores(docs: DataFrame, weights: np.ndarray, carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, source, lang, n_grams, scores, judged, share) of every row.
 
     ``scores`` are the text's log likelihoods, ``judged`` and ``share`` its ``explained_share``.
+    The text columns in ``carry`` are returned as well.
     """
     packed, n_languages = weights.tobytes(), weights.shape[1]
 
@@ -139,6 +140,7 @@ def text_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
+                    **{name: batch.column(name) for name in carry},
                     "source": batch.column("source"),
                     "lang": batch.column("lang"),
                     "n_grams": pa.array(grams, pa.int64()),
@@ -150,9 +152,10 @@ def text_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
     key = docs.schema["doc_id"].dataType.simpleString()
     text = lambda name: F.col(name).cast("string").alias(name)
-    return docs.select("doc_id", text("source"), text("lang"), "text").mapInArrow(
+    carried = "".join(f", {name} string" for name in carry)
+    return docs.select("doc_id", *carry, text("source"), text("lang"), "text").mapInArrow(
         score,
-        f"doc_id {key}, source string, lang string, n_grams bigint, scores array<double>, judged bigint, share double",
+        f"doc_id {key}{carried}, source string, lang string, n_grams bigint, scores array<double>, judged bigint, share double",
     )
 
 
@@ -213,14 +216,17 @@ def _host_counts(rows: DataFrame, n: int) -> DataFrame:
     return hosts.join(domains, "domain").drop("domain")
 
 
-def identify_languages(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -> DataFrame:
+def identify_languages(
+    docs: DataFrame, pages: DataFrame, languages=LANGUAGES, carry: Sequence[str] = ()
+) -> DataFrame:
     """(doc_id, language, confidence, declared, host, n_grams, kept) of every row of ``docs``.
 
     ``docs`` has (doc_id, text, lang, source), ``pages`` (page_id, url, html).
+    The text columns in ``carry`` are returned as well.
     """
     n = len(languages)
     weights = gram_weights(gram_counts(docs, languages))
-    scored = text_scores(docs, weights).join(page_evidence(pages), "doc_id", "left")
+    scored = text_scores(docs, weights, carry).join(page_evidence(pages), "doc_id", "left")
     rows = stored(
         scored.withColumns({"host": F.coalesce("host", "source"), "p": _softmax(F.col("scores"))}),
         "language-scores",
@@ -264,6 +270,7 @@ def identify_languages(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -
         "host",
         "n_grams",
         kept.alias("kept"),
+        *carry,
     )
 
 

@@ -87,3 +87,12 @@ def test_copies_become_one_row(spark, prose):
     want = [(5, a), (7, b), (7, c), (None, d), (3, ""), (4, ""), (6, None), (None, None)]
     got = survivors(corpus_pipeline.near_duplicate_stage, documents(spark, rows * 2))
     assert got == sorted(want, key=repr)
+
+
+def test_every_row_has_its_own_verdict(spark, prose):
+    (item,) = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").where("text is not null").orderBy("item_id").limit(1).collect()
+    clean, dirty = prose(1, 60), f"{prose(2, 5)} {item.text}"
+    docs = documents(spark, [(1, clean), (1, dirty), (None, dirty), (None, clean), (2, dirty)])
+    assert survivors(corpus_pipeline.decontamination_stage, docs) == sorted([(1, clean), (None, clean)], key=repr)
+    docs = documents(spark, [(1, clean), (1, ""), (1, None), (None, ""), (None, clean), (None, None)])
+    assert survivors(corpus_pipeline.language_stage, docs) == sorted([(1, clean), (None, clean)], key=repr)
