@@ -135,6 +135,24 @@ def landed_checksums(spark, sf):
     return runs_.select("municipality", "year", "month", "content_length_bytes", "sha256")
 
 
+@_query(
+    sql(
+        f"""select municipio as municipality, exercicio as year, mes_particao as month,
+          count(*)::bigint as record_count, sum(strlen(line))::bigint as content_length_bytes
+        from (select *, {_landed_json_sql('orgao, mes, evento, nr_empenho, id_fornecedor, nm_fornecedor, dt_emissao_despesa, vl_despesa')} as line
+              from raw_exp) group by all""",
+        "raw_exp",
+    )
+)
+def landed_bytes(spark, sf):
+    """Records and bytes of all that landed; the tests compare checksums with the files'."""
+    records = _orders_as_records(spark, sf)
+    base = scratch_path(spark, "landed")
+    landing.land(records, base, f"{base}/manifest", EXPENSES, planned=records)
+    runs_ = manifests.read_ingestion_runs(spark, f"{base}/manifest")
+    return runs_.select("municipality", "year", "month", "record_count", "content_length_bytes")
+
+
 @_query(
     sql(
         """select 'despesas' as dataset, municipio as municipality, exercicio as year,

@@ -4,12 +4,13 @@ from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
-from conftest import revenue
+from conftest import SF_DIR, revenue
 from pyspark.errors import PySparkException
 
 from fiscalake.operators import periods, runs
+from fiscalake.queries import registry
 from fiscalake.sources import landing, manifests, snapshots
-from fiscalake.sources.schemas import REVENUES
+from fiscalake.sources.schemas import EXPENSES, REVENUES
 
 RECORD_COLUMNS = (
     "municipio string, exercicio int, mes_particao int, orgao string, mes string, "
@@ -190,6 +191,23 @@ def test_landing_writes_a_manifest_row_per_snapshot(spark, tmp_path):
         assert r.duration_seconds >= 0
 
 
+def test_checksums_of_all_orders_equal_the_landed_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 5)
+    records, base = registry._orders_as_records(spark, SF_DIR), str(tmp_path / "bronze")
+    landing.land(records, base, f"{base}/manifest", EXPENSES, planned=records)
+    several, landed = 0, 0
+    for r in manifests.read_ingestion_runs(spark, f"{base}/manifest").collect():
+        folder = Path(base, EXPENSES, f"municipio={r.municipality}", f"exercicio={r.year}", f"mes={r.month:02d}")
+        files = [p.read_bytes() for p in folder.glob("snapshot=*/part-*")]
+        shas = [hashlib.sha256(raw).hexdigest() for raw in files]
+        words = [sum(int(x[8 * k : 8 * k + 8], 16) for x in shas) % 2**32 for k in range(8)]
+        assert r.sha256 == "".join(f"{w:08x}" for w in words)
+        assert r.content_length_bytes == sum(map(len, files))
+        assert r.record_count == sum(raw.count(b"\n") for raw in files)
+        several, landed = several + (len(files) > 1), landed + r.record_count
+    assert several and landed == records.count()
+
+
 def test_failed_landing_is_recorded_and_raised(spark, tmp_path):
     bronze, path = str(tmp_path / "bronze"), str(tmp_path / "manifest")
     records = _records(spark, ("salto", 2021, 2))
