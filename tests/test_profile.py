@@ -36,6 +36,7 @@ def test_expense_profile(spark, land_file):
         ("invalid_monetary_values", "vl_despesa"): 1,
         ("invalid_dates", "dt_emissao_despesa"): 1,
         ("exact_duplicate_groups", None): 1,
+        ("exact_duplicate_excess_rows", None): 1,
         **{("null_or_empty", c): n for c, n in blank.items()},
     }
     values = profile.distinct_values(bronze, EXPENSES).orderBy("column", "value").collect()
