@@ -6,8 +6,10 @@ live neighbours and updates the two pairs it touches, each along one path of the
 n pieces of text merge in O(n log n). Many short pieces of about the same length are merged
 side by side, one numpy lane each; long pieces walk their own tree.
 
-Pieces recur, so every worker keeps the ids of the pieces it has met, up to a fixed
-number. Nothing is shuffled; the rank file (about a megabyte) travels in the closure.
+Pieces recur, so every worker keeps the tables and the ids of the pieces it has met over all
+its tasks, up to a fixed number of bytes; long pieces are not kept. Texts are encoded in
+slices of bounded bytes, whatever the size of a batch. Nothing is shuffled; the rank file
+(about a megabyte) travels in the closure.
 
 Cases: a null or empty text has no ids and decodes to no bytes; repeated rows are encoded
 each; texts of any length are encoded whole; other columns are ignored; an empty table
@@ -19,23 +21,25 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalake.llm.common import table
+from fiscalake.llm.common import lean, table, text_slices
 
 #: No pair starts here.
 NONE = np.int32(2**31 - 1)
 #: Pieces of up to so many bytes are merged side by side.
 LANE_BYTES = 64
-#: Pieces a worker remembers.
-MEMORY = 400_000
-#: Rows that are encoded together.
-BATCH_CHARS = 4_000_000
+#: Bytes of pieces and ids that a worker remembers, and what one costs besides.
+MEMORY, COST = 40_000_000, 200
+#: Bytes of texts that are encoded together, and pieces that are merged together.
+SLICE_BYTES, LANES = 500_000, 5_000
 
 
 def rank_table(content: bytes) -> dict[bytes, int]:
@@ -139,9 +143,9 @@ def merge_long(piece: bytes, pairs: PairRanks) -> list[int]:
     levels = [first * width + np.arange(width)]
     while len(levels[-1]) > 1:
         levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
-    tree = [0] + [int(x) for level in reversed(levels) for x in level]
-    ids, merge, size = ids.tolist(), pairs.merge, pairs.size
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    tree = array("q", np.concatenate([[0], *reversed(levels)]).astype(np.int64).tobytes())
+    ids, merge, size = array("q", ids.tobytes()), pairs.merge, pairs.size
+    after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
 
     def update(leaf, rank):
         node = leaf + width
@@ -184,48 +188,48 @@ class Encoder:
         self.ranks = rank_table(content)
         self.pairs = PairRanks(self.ranks)
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
-    def _learn(self, pieces: Iterable[str]) -> None:
+    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Ids of new pieces; those of up to LANE_BYTES are remembered while there is room."""
+        new: dict[str, bytes] = {}
         by_width: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces:
             raw = piece.encode("utf-8")
             rank = self.ranks.get(raw)
             if rank is not None:
-                self.known[piece] = _packed([rank])
+                new[piece] = _packed([rank])
             elif len(raw) > LANE_BYTES:
-                self.known[piece] = _packed(merge_long(raw, self.pairs))
+                new[piece] = _packed(merge_long(raw, self.pairs))
             else:
                 by_width.setdefault((len(raw) - 1).bit_length(), []).append((piece, raw))
         for group in by_width.values():
-            for k in range(0, len(group), 20_000):
-                some = group[k : k + 20_000]
+            for k in range(0, len(group), LANES):
+                some = group[k : k + LANES]
                 for (piece, _), ids in zip(some, merge_lanes([raw for _, raw in some], self.pairs)):
-                    self.known[piece] = _packed(ids)
+                    new[piece] = _packed(ids)
+        for piece, ids in new.items():
+            if self.held < MEMORY and len(piece) <= LANE_BYTES:
+                self.known[piece] = ids
+                self.held += len(piece) + len(ids) + COST
+        return new
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [self.pattern.findall(text) for text in texts]
-        if len(self.known) > MEMORY:
-            self.known = {}
-        new = set().union(*split).difference(self.known)
-        self._learn(new)
+        new = self._learn(set().union(*split).difference(self.known))
         known = self.known
         for pieces in split:
-            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype="<u4")
+            packed = b"".join([known[p] if p in known else new[p] for p in pieces])
+            yield np.frombuffer(packed, dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.pairs.tokens.__getitem__, ids.tolist()))
 
 
-def small_batches(texts: list, chars: int) -> Iterator[tuple[int, int]]:
-    """Slices of about ``chars`` characters; a longer text is a slice of its own."""
-    start, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held > chars:
-            yield start, k + 1
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+@lru_cache(maxsize=1)
+def _shared_encoder(content: bytes, pattern: str) -> Encoder:
+    """One for each Python process: Spark's workers run many tasks."""
+    return Encoder(content, pattern)
 
 
 def read_bytes(path: str) -> bytes:
@@ -243,19 +247,20 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, with_ids: bo
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(content, pattern)
+        encoder = _shared_encoder(content, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for start, end in small_batches(texts, BATCH_CHARS):
+            for start, end in text_slices(batch.column("text"), SLICE_BYTES):
+                some = batch.slice(start, end - start)
                 counts, ids_hash, text_hash, raw = [], [], [], []
-                for ids in encoder.encode(texts[start:end]):
+                for ids in encoder.encode([t or "" for t in some.column("text").to_pylist()]):
                     packed = ids.tobytes()
                     counts.append(len(ids))
                     ids_hash.append(hashlib.sha256(packed).hexdigest())
                     text_hash.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-                    raw.append(packed)
+                    if with_ids:
+                        raw.append(packed)
                 columns = {
-                    "doc_id": batch.column("doc_id").slice(start, end - start),
+                    "doc_id": some.column("doc_id"),
                     "n_tokens": pa.array(counts, pa.int64()),
                     "ids_sha256": pa.array(ids_hash, pa.string()),
                     "decoded_sha256": pa.array(text_hash, pa.string()),
@@ -266,7 +271,7 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, with_ids: bo
 
     schema = f"doc_id {key}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids binary" if with_ids else ""
-    return docs.select("doc_id", "text").mapInArrow(encode, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(encode), schema)
 
 
 def decode_ids(encoded: DataFrame, rank_path: str) -> DataFrame:

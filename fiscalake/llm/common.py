@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +49,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """Slices of about ``most_bytes`` bytes of text; a longer text is a slice of its own."""
+    start, held = 0, 0
+    for k, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if held and held + size > most_bytes:
+            yield start, k
+            start, held = k, 0
+        held += size
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Spark's Python workers live on for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task`` for ``mapInArrow``, with its memory given back when it ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            release_memory()
+
+    return run

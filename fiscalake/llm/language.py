@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalake.llm.common import lower_ascii, stored, table
+from fiscalake.llm.common import lean, lower_ascii, stored, table
 from fiscalake.llm.urls import host_suffix, registered_domain, url_host
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -102,7 +102,7 @@ def gram_counts(docs: DataFrame, languages=LANGUAGES) -> np.ndarray:
             {"l": pa.array(lang, pa.int32()), "slot": pa.array(slot, pa.int32()), "n": pa.array(total[lang, slot])}
         )
 
-    counted = docs.select("text", "lang").mapInArrow(count, "l int, slot int, n bigint")
+    counted = docs.select("text", "lang").mapInArrow(lean(count), "l int, slot int, n bigint")
     rows = counted.groupBy("l", "slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((len(languages), BUCKETS))
     out[rows["l"].to_numpy(), rows["slot"].to_numpy()] = rows["n"].to_numpy()
@@ -154,7 +154,7 @@ def text_scores(docs: DataFrame, weights: np.ndarray, carry: Sequence[str] = ())
     text = lambda name: F.col(name).cast("string").alias(name)
     carried = "".join(f", {name} string" for name in carry)
     return docs.select("doc_id", *carry, text("source"), text("lang"), "text").mapInArrow(
-        score,
+        lean(score),
         f"doc_id {key}{carried}, source string, lang string, n_grams bigint, scores array<double>, judged bigint, share double",
     )
 

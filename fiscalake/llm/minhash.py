@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalake.llm.common import UPPER, stored, table
+from fiscalake.llm.common import UPPER, lean, stored, table, text_slices
 from fiscalake.llm.components import connected_components
 
 #: Linked from this similarity, in hundredths.
@@ -39,8 +39,8 @@ BANDS, ROWS = 36, 5
 SIGNATURE_SHARE = 0.65
 #: Members of a block in the search of step 4.
 BLOCK = 128
-#: Words a worker remembers the hashes of.
-MEMORY = 300_000
+#: Words a task remembers the hashes of, and bytes of texts that are hashed together.
+MEMORY, SLICE_BYTES = 100_000, 1_000_000
 SEED = 7
 
 _LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
@@ -124,8 +124,8 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                sets = shingler.sets(batch.column("text").slice(a, 500).to_pylist())
+            for a, b in text_slices(batch.column("text"), SLICE_BYTES):
+                sets = shingler.sets(batch.column("text").slice(a, b - a).to_pylist())
                 full = [k for k, s in enumerate(sets) if len(s)]
                 digests = [hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest() for k in full]
                 minima = signatures([sets[k] for k in full])
@@ -144,7 +144,7 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        sketch,
+        lean(sketch),
         f"doc_id {key}, n_shingles bigint, digest binary, bands array<bigint>, minima array<smallint>",
     )
 
@@ -189,8 +189,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
         for batch in batches:
             names = ["x", "part", "role", "id", "text"]
             found_x, found_y = [], []
-            for a in range(0, batch.num_rows, 500):
-                columns = [batch.column(n).slice(a, 500).to_pylist() for n in names]
+            for a, b in text_slices(batch.column("text"), SLICE_BYTES):
+                columns = [batch.column(n).slice(a, b - a).to_pylist() for n in names]
                 for x, part, role, y, found in zip(*columns[:4], shingler.sets(columns[4])):
                     if role == 0:
                         own = [*own, found] if centre == (x, part) else [found]
@@ -208,7 +208,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
     return (
         rows.repartition(parts, "x", "part")
         .sortWithinPartitions("x", "part", "role")
-        .mapInArrow(compare, f"x {key}, y {key}")
+        .mapInArrow(lean(compare), f"x {key}, y {key}")
     )
 
 
@@ -326,7 +326,7 @@ def _missed_links(
     return (
         dealt.repartition(parts, "key", "o", "i")
         .sortWithinPartitions("key", "o", "i")
-        .mapInArrow(compare, f"x {key}, y {key}")
+        .mapInArrow(lean(compare), f"x {key}, y {key}")
     )
 
 
