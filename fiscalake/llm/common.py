@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fiscalake.session import scratch_path
@@ -82,3 +82,38 @@ def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
             release_memory()
 
     return run
+
+
+def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``rows`` with ``pos``, from 0 within each group in ``order``, and ``n``, the group's rows.
+
+    Rows are sorted by ranges of group and order, so that a group with most of all rows goes to
+    many tasks; a range's rows before a group's first row are counted afterwards. Rows that are
+    equal in ``order`` get their positions in any way. Group columns must not be null. ``rows``
+    must be stored or deterministic. Stored below ``name``.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # equal rows are told apart by where they were read, so that ranges can cut among them
+    keys = [*group, *order, "seq"]
+    ranged = (
+        rows.withColumn("seq", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("seq", F.monotonically_increasing_id())
+    )
+    held = stored(ranged.withColumn("range", F.shiftright("seq", 33)), name)
+    firsts = held.groupBy(*group, "range").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("in_range"))
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    firsts = firsts.select(
+        *group,
+        "range",
+        (F.sum("in_range").over(upto) - F.col("in_range") - F.col("first")).alias("shift"),
+        F.sum("in_range").over(whole).alias("n"),
+    )
+    # a range's rows of a group are at most one task's rows: no key is hotter than that
+    return (
+        held.join(stored(firsts, f"{name}-ranges"), [*group, "range"])
+        .withColumn("pos", F.col("seq") + F.col("shift"))
+        .drop("seq", "range", "shift")
+    )

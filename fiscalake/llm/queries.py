@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from fiscalake.llm import bpe, chat, decontaminate, language, minhash, private, quality, shards, token_files, urls
+from fiscalake.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    language,
+    manifest,
+    minhash,
+    private,
+    quality,
+    shards,
+    token_files,
+    urls,
+)
 
 
 def queries():
@@ -17,6 +29,7 @@ def queries():
         "op8_sampled_splitters": shards.op8_sampled_splitters,
         "op9_re_pair": token_files.op9_re_pair,
         "op10_weak_supervision": private.op10_weak_supervision,
+        "op11_merkle_witnesses": manifest.op11_merkle_witnesses,
     }
 
 
@@ -26,4 +39,5 @@ def oracle_sql():
         "op3_url_reputation": urls.OP3_SQL,
         "op4_snapshot_collapse": chat.OP4_SQL,
         "op6_rule_ledger": quality.OP6_SQL,
+        "op11_merkle_witnesses": manifest.OP11_SQL,
     }
