@@ -14,6 +14,7 @@ from fiscalake.llm import (
     shards,
     token_files,
     urls,
+    winnow,
 )
 
 
@@ -30,6 +31,7 @@ def queries():
         "op9_re_pair": token_files.op9_re_pair,
         "op10_weak_supervision": private.op10_weak_supervision,
         "op11_merkle_witnesses": manifest.op11_merkle_witnesses,
+        "op12_winnowing": winnow.op12_winnowing,
     }
 
 

@@ -59,19 +59,19 @@ def _splitters(records: DataFrame, total: int, ranges: int) -> list[int]:
     return sorted({*found, *(key + 1 for key in hot)})
 
 
-def _longs(values: list[int]) -> Column:
+def longs(values: list[int]) -> Column:
     return F.array(*[F.lit(v).cast("long") for v in values]).cast("array<bigint>")
 
 
-def _range_of(key: Column, bounds: list[int]) -> Column:
+def range_of(key: Column, bounds: list[int]) -> Column:
     """How many of the sorted boundaries are at or below the key, found in two steps."""
     if not bounds:
         return F.lit(0)
     step = max(1, round(len(bounds) ** 0.5))
     groups = [bounds[k : k + step] for k in range(0, len(bounds), step)]
     below = lambda array: F.size(F.filter(array, lambda b: b <= key))
-    outer = below(_longs([g[0] for g in groups]))
-    inner = F.get(F.array(*[_longs(g) for g in groups]), outer - 1)
+    outer = below(longs([g[0] for g in groups]))
+    inner = F.get(F.array(*[longs(g) for g in groups]), outer - 1)
     return F.when(outer == 0, 0).otherwise((outer - 1) * step + below(inner))
 
 
@@ -80,7 +80,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int
     records = stored(_sizes(docs), "sizes")
     total = records.agg(F.sum("size")).first()[0] or 1
     bounds = _splitters(records, total, shards * ranges_per_shard)
-    ranged = records.withColumn("range", _range_of(F.col("key"), bounds))
+    ranged = records.withColumn("range", range_of(F.col("key"), bounds))
 
     # one row for each range: their number is fixed by the parameters
     held = {r["range"]: r for r in ranged.groupBy("range").agg(
@@ -90,8 +90,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int
     share = lambda r: max(r["n"] / rows, r["bytes"] / total) * n_ranges
     parts = [max(1, round(share(held[k]))) if k in held and share(held[k]) > OVERFULL else 1 for k in range(n_ranges)]
     first_block = [0, *accumulate(parts)]
-    part = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.get(_longs(parts), F.col("range")))
-    blocked = ranged.withColumn("block", F.get(_longs(first_block[:-1]), F.col("range")) + part)
+    part = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.get(longs(parts), F.col("range")))
+    blocked = ranged.withColumn("block", F.get(longs(first_block[:-1]), F.col("range")) + part)
 
     sums = {r["block"]: r for r in blocked.groupBy("block").agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()}
@@ -99,10 +99,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int
         0, *accumulate(sums[k][what] if k in sums else 0 for k in range(first_block[-1]))
     ]
     in_block = Window.partitionBy("block").orderBy("key", "doc_id")
-    row = F.get(_longs(before("n")), F.col("block")) + F.row_number().over(in_block) - 1
+    row = F.get(longs(before("n")), F.col("block")) + F.row_number().over(in_block) - 1
     upto = F.sum("size").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
     # twice the bytes before the middle of the record
-    middle = 2 * (F.get(_longs(before("bytes")), F.col("block")) + upto) - F.col("size")
+    middle = 2 * (F.get(longs(before("bytes")), F.col("block")) + upto) - F.col("size")
     shard = F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2.0 * total)))
     placed = stored(
         blocked.withColumns({"row": row, "middle": middle}).select(
@@ -111,7 +111,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int
         "placed",
     )
     first = {r["shard"]: r["row"] for r in placed.groupBy("shard").agg(F.min("row").alias("row")).collect()}
-    starts = _longs([first.get(k, 0) for k in range(shards)])
+    starts = longs([first.get(k, 0) for k in range(shards)])
     return placed.select(
         "doc_id", "size", "text_crc32", "shard", (F.col("row") - F.get(starts, F.col("shard"))).alias("slot")
     )
