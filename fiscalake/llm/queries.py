@@ -13,6 +13,7 @@ from fiscalake.llm import (
     quality,
     shards,
     token_files,
+    trie,
     urls,
     winnow,
 )
@@ -32,6 +33,7 @@ def queries():
         "op10_weak_supervision": private.op10_weak_supervision,
         "op11_merkle_witnesses": manifest.op11_merkle_witnesses,
         "op12_winnowing": winnow.op12_winnowing,
+        "op13_prefix_rollup": trie.op13_prefix_rollup,
     }
 
 
@@ -42,4 +44,5 @@ def oracle_sql():
         "op4_snapshot_collapse": chat.OP4_SQL,
         "op6_rule_ledger": quality.OP6_SQL,
         "op11_merkle_witnesses": manifest.OP11_SQL,
+        "op13_prefix_rollup": trie.OP13_SQL,
     }
