@@ -9,13 +9,16 @@ host's prior is its own mixture of languages, smoothed by its domain's and that
 overall one, without the document itself. All of these come from grouped sums.
 
 A document is rejected if its text has no trigram, if no language reaches the least
-confidence, or if the text is in none of the languages. For the latter a uniform model of
-trigrams stands beside the languages: of the trigrams inside words the language that
-explains most must explain a least share better than the uniform model does. That share is
-learned: a low quantile of the labelled documents, less a margin that is wider for short
-texts. Numbers, addresses and marks between words do not count, so a text full of them is
-judged by its words; a text without words is judged by all its trigrams. A short text in a
-language that shares most of its trigrams with one of ``LANGUAGES`` can still pass.
+confidence, or if the text is in none of the languages. For the latter the share of the
+trigrams inside words is taken that a language explains better than chance. What a foreign
+text looks like is learned from the labelled ones: of each, the largest share that one of
+the *other* languages explains, whose counts do not hold it. A text stays if its best language
+explains more of it than the median of these, less a margin that is wider for short texts. So
+the bar does not rise with how much the labelled texts resemble each other, and a text unlike
+them, but in one of the languages, stays. Numbers, addresses and marks between words do not
+count, so a text full of them is judged by its words; a text without words is judged by all
+its trigrams. A short text in a language that shares most of its trigrams with one of
+``LANGUAGES`` can still pass.
 
 Cases: a null or empty text, or one under three bytes, is rejected, its language is what
 the other evidence says; labels outside ``LANGUAGES`` and null labels do not train; without
@@ -44,10 +47,9 @@ GRAM_WEIGHT, MOST_GRAMS = 0.2, 500
 #: Pseudo-counts: of a trigram, of the prior of a host or domain, of declarations and suffixes.
 GRAM_SMOOTHING, HOST_SMOOTHING, EVIDENCE_SMOOTHING = 0.5, 20.0, 5.0
 LEAST_CONFIDENCE = 0.4
-#: Share of trigrams that a language must explain: quantile of the labelled texts of so many
-#: trigrams at least, the bounds it is held in, the margin below it and that of one trigram.
-SHARE_QUANTILE, SHARE_GRAMS = 0.001, 20
-SHARE_BOUNDS, SHARE_MARGIN, SHARE_SPREAD = (0.3, 0.75), 0.1, 1.5
+#: Share of trigrams that a language must explain: learned from labelled texts of so many
+#: trigrams at least, the bounds it is held in, and the margin of a text of one trigram.
+SHARE_GRAMS, SHARE_BOUNDS, SHARE_SPREAD = 20, (0.2, 0.5), 0.3
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _DECLARED = r"(?i)<html\b[^>]*?\slang\s*=\s*[\x22']?([a-z]{2,3})"
@@ -72,16 +74,16 @@ def inside_words(text: str | None) -> np.ndarray:
     return beside[:-2] & letter[1:-1] & beside[2:]
 
 
-def explained_share(text: str | None, found: np.ndarray) -> tuple[int, float]:
-    """Trigrams judged, and the largest share of them that a language explains better than chance.
+def explained_shares(text: str | None, found: np.ndarray) -> tuple[int, np.ndarray]:
+    """Trigrams judged, and the share of them that each language explains better than chance.
 
     ``found`` has the log likelihood of every trigram (row) in every language (column).
     """
     words = inside_words(text)
     judged = found[words] if words.any() else found
     if not len(judged):
-        return 0, 0.0
-    return len(judged), float((judged > -np.log(BUCKETS)).mean(axis=0).max())
+        return 0, np.zeros(found.shape[1])
+    return len(judged), (judged > -np.log(BUCKETS)).mean(axis=0)
 
 
 def gram_counts(docs: DataFrame, languages=LANGUAGES) -> np.ndarray:
@@ -115,28 +117,33 @@ def gram_weights(counts: np.ndarray) -> np.ndarray:
     return np.log(shares / shares.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
 
 
-def text_scores(docs: DataFrame, weights: np.ndarray, carry: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, source, lang, n_grams, scores, judged, share) of every row.
+def text_scores(
+    docs: DataFrame, weights: np.ndarray, languages=LANGUAGES, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, source, lang, n_grams, scores, judged, share, foreign) of every row.
 
-    ``scores`` are the text's log likelihoods, ``judged`` and ``share`` its ``explained_share``.
-    The text columns in ``carry`` are returned as well.
+    ``scores`` are the text's log likelihoods, ``judged`` its trigrams inside words, ``share`` what
+    the best language explains of them, and ``foreign`` what the best other one than its label
+    does. The text columns in ``carry`` are returned as well.
     """
     packed, n_languages = weights.tobytes(), weights.shape[1]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.frombuffer(packed, dtype=np.float32).reshape(-1, n_languages)
         for batch in batches:
-            grams, scores, judged, shares = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            grams, scores, judged, shares, foreign = [], [], [], [], []
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 slots = gram_slots(text)
                 n = len(slots)
                 scale = GRAM_WEIGHT * min(n, MOST_GRAMS) / max(n, 1)
                 grams.append(n)
                 found = weight[slots]
                 scores.append(found.sum(axis=0, dtype=np.float64) * scale)
-                of, share = explained_share(text, found)
+                of, share = explained_shares(text, found)
                 judged.append(of)
-                shares.append(share)
+                shares.append(float(share.max()))
+                others = [x for x, name in zip(share.tolist(), languages) if name != lang]
+                foreign.append(max(others, default=0.0) if lang in languages else None)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -147,6 +154,7 @@ def text_scores(docs: DataFrame, weights: np.ndarray, carry: Sequence[str] = ())
                     "scores": pa.array(scores, pa.list_(pa.float64())),
                     "judged": pa.array(judged, pa.int64()),
                     "share": pa.array(shares, pa.float64()),
+                    "foreign": pa.array(foreign, pa.float64()),
                 }
             )
 
@@ -155,7 +163,7 @@ def text_scores(docs: DataFrame, weights: np.ndarray, carry: Sequence[str] = ())
     carried = "".join(f", {name} string" for name in carry)
     return docs.select("doc_id", *carry, text("source"), text("lang"), "text").mapInArrow(
         lean(score),
-        f"doc_id {key}{carried}, source string, lang string, n_grams bigint, scores array<double>, judged bigint, share double",
+        f"doc_id {key}{carried}, source string, lang string, n_grams bigint, scores array<double>, judged bigint, share double, foreign double",
     )
 
 
@@ -226,13 +234,13 @@ def identify_languages(
     """
     n = len(languages)
     weights = gram_weights(gram_counts(docs, languages))
-    scored = text_scores(docs, weights, carry).join(page_evidence(pages), "doc_id", "left")
+    scored = text_scores(docs, weights, languages, carry).join(page_evidence(pages), "doc_id", "left")
     rows = stored(
         scored.withColumns({"host": F.coalesce("host", "source"), "p": _softmax(F.col("scores"))}),
         "language-scores",
     )
-    usual = F.when(F.col("lang").isin(*languages) & (F.col("judged") >= SHARE_GRAMS), F.col("share"))
-    whole = rows.agg(F.count(F.lit(1)), *_sums(n, "g"), F.percentile_approx(usual, SHARE_QUANTILE)).first()
+    foreign = F.when(F.col("judged") >= SHARE_GRAMS, F.col("foreign"))
+    whole = rows.agg(F.count(F.lit(1)), *_sums(n, "g"), F.percentile_approx(foreign, 0.5)).first()
     overall = [((whole[1 + k] or 0.0) + 1) / ((whole[0] or 0) + n) for k in range(n)]
     joined = (
         rows.join(_host_counts(rows, n), "host", "left")
@@ -258,9 +266,8 @@ def identify_languages(
     best = (F.array_position("posterior", F.col("confidence")) - 1).cast("int")
     trained = bool((weights.max(axis=1) > weights.min(axis=1)).any())
     low, high = SHARE_BOUNDS
-    least = min(max(whole[1 + n] or low, low), high) - SHARE_MARGIN
-    needed = F.greatest(F.lit(low), F.lit(least) - SHARE_SPREAD / F.sqrt(F.greatest(F.col("judged"), F.lit(1))))
-    known = F.col("share") >= needed
+    bar = min(max(whole[1 + n] or low, low), high)
+    known = F.col("share") > F.lit(bar) - SHARE_SPREAD / F.sqrt(F.greatest(F.col("judged"), F.lit(1)))
     kept = (F.col("n_grams") > 0) & (F.col("confidence") >= LEAST_CONFIDENCE) & known & F.lit(trained)
     return posterior.select(
         "doc_id",

@@ -67,3 +67,98 @@ def test_foreign_and_non_language_texts_are_rejected(frame):
     got = {r.doc_id: r for r in lg.identify_languages(frame(rows, DOCS), frame([], PAGES)).collect()}
     assert [d for d in got if d >= 600 and got[d].kept and d < 700] == []
     assert all(got[d].kept for d in got if d < 600)
+
+
+#: Ordinary sentences, unlike the invented words of the test tables.
+PLAIN = {
+    "en": [
+        "Please remember to bring your own lunch when you come to the office tomorrow morning.",
+        "She walked slowly along the river, thinking about everything her brother had told her.",
+    ],
+    "de": [
+        "Der Ausschuss trifft sich am nächsten Donnerstag, um über den Haushalt und das neue Schulgebäude zu sprechen.",
+        "Sie ging langsam am Fluss entlang und dachte an alles, was ihr Bruder gesagt hatte.",
+    ],
+    "fr": [
+        "La commission se réunira jeudi prochain pour discuter du budget annuel et de la nouvelle école.",
+        "Elle marchait lentement le long de la rivière en pensant à tout ce que son frère lui avait dit.",
+    ],
+    "es": [
+        "La comisión se reunirá el próximo jueves para hablar del presupuesto anual y de la nueva escuela.",
+        "Ella caminaba despacio por la orilla del río pensando en todo lo que su hermano le había dicho.",
+    ],
+}
+
+
+def test_clean_texts_unlike_the_training_rows_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(0)
+    plain = [t for texts in PLAIN.values() for t in [*texts, " ".join(texts * 20)]]
+    foreign = FOREIGN[:1] + FOREIGN[2:]  # Italian is near enough to Spanish and French
+    more = [(-1 - k, t, None, None) for k, t in enumerate(plain)] + [(-100 - k, t, None, None) for k, t in enumerate(foreign)]
+    found = lg.identify_languages(docs.unionByName(spark.createDataFrame(more, docs.schema)), pages)
+    got = {r.doc_id: r for r in found.collect()}
+    assert [t for k, t in enumerate(plain) if not got[-1 - k].kept] == []
+    assert [t for k, t in enumerate(foreign) if got[-100 - k].kept] == []
+    wrong = [r for r in got.values() if r.doc_id >= 0 and not r.kept and r.n_grams >= 10]
+    assert len(wrong) <= 0.001 * len(got)
+
+
+def test_posterior_equals_brute_force(frame):
+    """Every number of the method again, in plain loops."""
+    import math
+
+    rows = corpus()[::3] + [(900, "the ring der und", "en", "src1"), (901, "le que", None, None)]
+    hosts = ["a.de", "b.a.de", "c.fr", "d.example.es"]
+    pages = [(d, f"http://{hosts[d % 4]}/x", f'<html lang="{lang or "de"}">') for d, _, lang, _ in rows if d % 2 == 0]
+    got = {r.doc_id: r for r in lg.identify_languages(frame(rows, DOCS), frame(pages, PAGES)).collect()}
+
+    names, n = lg.LANGUAGES, len(lg.LANGUAGES)
+    counts = {lang: {} for lang in names}
+    for _, t, lang, _ in rows:
+        for s in lg.gram_slots(t).tolist() if lang else []:
+            counts[lang][s] = counts[lang].get(s, 0) + 1
+    weight = {}
+    for lang, own in counts.items():
+        total = sum(own.values()) + lg.GRAM_SMOOTHING * lg.BUCKETS
+        weight[lang] = lambda s, own=own, total=total: math.log((own.get(s, 0) + lg.GRAM_SMOOTHING) / total)
+
+    def softmax(xs):
+        e = [math.exp(x - max(xs)) for x in xs]
+        return [x / sum(e) for x in e]
+
+    at = {d: (u.split("/")[2], h.split('"')[1]) for d, u, h in pages}
+    scores, soft, host, suffix, declared = {}, {}, {}, {}, {}
+    for d, t, _, source in rows:
+        slots = lg.gram_slots(t).tolist()
+        scale = lg.GRAM_WEIGHT * min(len(slots), lg.MOST_GRAMS) / max(len(slots), 1)
+        scores[d] = [sum(weight[lang](s) for s in slots) * scale for lang in names]
+        soft[d] = softmax(scores[d])
+        host[d] = at[d][0] if d in at else source
+        suffix[d] = at[d][0].rsplit(".", 1)[1] if d in at else None
+        declared[d] = at[d][1] if d in at else None
+    domain = {d: ".".join(h.split(".")[-2:]) if h else None for d, h in host.items()}
+
+    def summed(of, value):
+        return [sum(soft[d][k] for d in soft if of[d] == value) for k in range(n)]
+
+    whole = [sum(p[k] for p in soft.values()) for k in range(n)]
+    overall = [(w + 1) / (len(rows) + n) for w in whole]
+    for d in soft:
+        prior = overall
+        for of in (domain, host):
+            held = [max(x - y, 0.0) if of[d] else 0.0 for x, y in zip(summed(of, of[d]), soft[d])]
+            prior = [(h + lg.HOST_SMOOTHING * p) / (sum(held) + lg.HOST_SMOOTHING) for h, p in zip(held, prior)]
+        total = [s + math.log(p) for s, p in zip(scores[d], prior)]
+        for of in (declared, suffix):
+            kinds = {v for v in of.values() if v}
+            sums = {v: summed(of, v) for v in kinds}
+            every = [sum(s[k] for s in sums.values()) for k in range(n)]
+            if of[d]:
+                share = (sum(sums[of[d]]) + 1) / (sum(every) + len(kinds))
+                for k in range(n):
+                    smooth = lg.EVIDENCE_SMOOTHING
+                    total[k] += math.log((sums[of[d]][k] + smooth * share) / (every[k] + smooth))
+        posterior = softmax(total)
+        assert got[d].language == names[posterior.index(max(posterior))]
+        assert abs(got[d].confidence - max(posterior)) < 1e-4, d
