@@ -8,8 +8,9 @@ sampled suffix, merged to spans of words, and counted for each document.
 Words that no phrase has are one symbol, and stretches of other words shorter than the
 shortest phrase cannot hold an occurrence: neither costs space in the index.
 
-The benchmark reaches the tasks in blocks of bounded size, one pass over the rows for
-each; a usual benchmark is one block. Nothing is shuffled.
+The benchmark reaches the tasks in blocks of bounded size. A usual benchmark is one block:
+rows pass by once and nothing is shuffled. Of a larger one, every block reads the documents
+again and leaves its hits, one row for each text that has any; the documents are not written.
 
 Cases: a null or empty text has no words, hits or items and is not contaminated; so has
 one of punctuation only; items without an id or without words are left out; an item
@@ -19,6 +20,7 @@ documents are judged each; an empty benchmark leaves all clean; other columns ar
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from itertools import repeat
 
@@ -26,14 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fiscalake.llm.common import stored, table
+from fiscalake.llm.common import lean, stored, table, text_slices
 
 WINDOW = 13
 #: Contaminated from one hit word in so many.
 HIT_SHARE = 20
-#: Bytes of benchmark text in a block, and characters of training text in a shard.
-BLOCK_BYTES, SHARD_CHARS = 16_000_000, 16_000_000
+#: Bytes of benchmark text in a block, and of training text in a shard.
+BLOCK_BYTES, SHARD_BYTES = 16_000_000, 8_000_000
 #: Every so many positions of the text keep their suffix.
 SAMPLE = 16
 
@@ -212,41 +215,45 @@ def merged(spans: list[int]) -> list[int]:
     return out
 
 
-def _slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
-    start = held = 0
-    for k, text in enumerate(texts):
-        held += len(text or "")
-        if held > chars:
-            yield start, k + 1
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _search(docs: DataFrame, items: list[tuple[str, str]], keep: Sequence[str]) -> DataFrame:
+    """(row, digest, n_words, spans, items): each row of ``docs`` with its hits.
 
+    ``row`` holds the columns in ``keep``, so no name can clash with another; ``digest`` is the text's.
+    """
+    fields = [docs.schema[name] for name in keep]
 
-def _search_block(rows: DataFrame, items: list[tuple[str, str]], keep_text: bool, carry: list[str]) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(items)
         for batch in batches:
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            texts = columns["text"].to_pylist()
-            for a, b in _slices(texts, SHARD_CHARS):
-                counts, spans, found = search_shard(texts[a:b], phrases)
-                earlier = columns["spans"].slice(a, b - a).to_pylist()
-                listed = columns["items"].slice(a, b - a).to_pylist()
-                out = {name: columns[name].slice(a, b - a) for name in ["doc_id", *carry]}
-                if keep_text:
-                    out["text"] = columns["text"].slice(a, b - a)
-                out["n_words"] = pa.array(counts, pa.int64())
-                out["spans"] = pa.array([merged(x + y) for x, y in zip(earlier, spans)], pa.list_(pa.int64()))
-                out["items"] = pa.array([sorted(y.union(x)) for x, y in zip(listed, found)], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_pydict(out)
-
-    key = rows.schema["doc_id"].dataType.simpleString()
-    text = ", text string" if keep_text else ""
-    carried = "".join(f", {name} string" for name in carry)
-    return rows.mapInArrow(
-        search, f"doc_id {key}{carried}{text}, n_words bigint, spans array<bigint>, items array<string>"
+            every = batch.column("row")
+            for a, b in text_slices(every.field("text"), SHARD_BYTES):
+                some = every.slice(a, b - a)
+                columns = dict(zip([f.name for f in every.type], some.flatten()))
+                texts = columns["text"].to_pylist()
+                counts, spans, found = search_shard(texts, phrases)
+                digests = [hashlib.sha256((t or "").encode()).digest() for t in texts]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "row": pa.StructArray.from_arrays([columns[n] for n in keep], list(keep)),
+                        "digest": pa.array(digests, pa.binary()),
+                        "n_words": pa.array(counts, pa.int64()),
+                        "spans": pa.array([merged(x) for x in spans], pa.list_(pa.int64())),
+                        "items": pa.array([sorted(x) for x in found], pa.list_(pa.string())),
+                    }
+                )
+
+    schema = T.StructType(
+        [
+            T.StructField("row", T.StructType(fields)),
+            T.StructField("digest", T.BinaryType()),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("spans", T.ArrayType(T.LongType())),
+            T.StructField("items", T.ArrayType(T.StringType())),
+        ]
     )
+    columns = list(dict.fromkeys([*keep, "text"]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return docs.select(whole.alias("row")).mapInArrow(lean(search), schema)
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -261,35 +268,70 @@ def _block(items: DataFrame, k: int, n: int) -> list[tuple[str, str]]:
     return [(r["item_id"], r["text"]) for r in chosen.toLocalIterator()]
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, carry: Sequence[str] = ()
-) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, spans, contaminated) of every row of ``docs``.
+def _merged(spans: Column) -> Column:
+    """Spans [start, end, ...] of several blocks, sorted, those that overlap or touch joined."""
+    ends = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(spans) / 2).cast("int") - 1),
+        lambda k: F.struct(F.get(spans, 2 * k).alias("s"), F.get(spans, 2 * k + 1).alias("e")),
+    )
+    add = lambda done, x: F.when(
+        (F.size(done) > 0) & (x["s"] <= F.element_at(done, -1)),
+        F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.greatest(F.element_at(done, -1), x["e"]))),
+    ).otherwise(F.concat(done, F.array(x["s"], x["e"])))
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size(spans) == 0, none).otherwise(F.aggregate(F.array_sort(ends), none, add))
 
-    ``items`` are the sorted ids whose windows occur, ``spans`` the word ranges to remove,
-    as [start, end, start, end, ...]. The text columns in ``carry`` are returned as well.
+
+def _search_blocks(docs: DataFrame, items: DataFrame, n: int, keep: Sequence[str]) -> DataFrame:
+    """As :func:`_search`, for a benchmark of several blocks.
+
+    Every block reads the documents again and leaves only its hits, one for each text that has
+    any; texts are not written. The driver holds one block at a time.
     """
-    rows = docs.select(
-        "doc_id",
-        *carry,
-        "text",
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<bigint>").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
+    hits = None
+    for k in range(n):
+        found = _search(docs, _block(items, k, n), ["doc_id"]).where(F.size("items") > 0)
+        own = stored(found.select("digest", "spans", "items").dropDuplicates(["digest"]), "hits")
+        hits = own if hits is None else hits.unionByName(own)
+    joined = hits.groupBy("digest").agg(
+        _merged(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
+    clean = _search(docs, [], keep).drop("spans", "items")
+    none = lambda name, kind: F.coalesce(name, F.array().cast(f"array<{kind}>")).alias(name)
+    return clean.join(stored(joined, "all-hits"), "digest", "left").select(
+        "row", "n_words", none("spans", "bigint"), none("items", "string")
+    )
+
+
+def judge_rows(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """(row, n_words, n_hit, items, spans, contaminated) of every row of ``docs``.
+
+    ``row`` holds the row's columns, or those in ``keep``. With a benchmark of one block rows only
+    pass by: nothing is joined or shuffled.
+    """
+    keep = docs.columns if keep is None else keep
     items = _items(benchmark)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
-    for k in range(n):
-        last = k + 1 == n
-        rows = _search_block(rows, _block(items, k, n), keep_text=not last, carry=list(carry))
-        if not last:  # the driver holds one block at a time
-            rows = stored(rows, "searched")
+    rows = _search(docs, _block(items, 0, 1), keep) if n == 1 else _search_blocks(docs, items, n, keep)
     odd = lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)
     n_hit = F.aggregate(F.transform("spans", odd), F.lit(0).cast("long"), lambda total, x: total + x)
     found = rows.withColumn("n_hit", n_hit)
     dirty: Column = (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words"))
-    return found.select("doc_id", "n_words", "n_hit", "items", "spans", dirty.alias("contaminated"), *carry)
+    return found.select("row", "n_words", "n_hit", "items", "spans", dirty.alias("contaminated"))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, n_words, n_hit, items, spans, contaminated) of every row of ``docs``.
+
+    ``items`` are the sorted ids whose windows occur, ``spans`` the word ranges to remove,
+    as [start, end, start, end, ...].
+    """
+    found = judge_rows(docs, benchmark, block_bytes, keep=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_hit", "items", "spans", "contaminated")
 
 
 def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ features) alone, at most KINDS * 3 ** LABELERS * 2 ** FEATURES rows.
 
 Cases: a null or empty text has no spans; repeated rows are treated each; candidates that
 overlap a span of the fixed kinds are left out; a corpus without candidates adds none;
-other columns are ignored (``redact`` keeps them); an empty table gives an empty result.
+other columns are ignored (``redact`` keeps them, whatever their names); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -227,11 +228,12 @@ def candidates(text: Column, base: Column) -> Column:
 
 
 def _with_spans(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` with ``__text``, ``__base`` and ``__extra``."""
-    based = docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("__text")).withColumn(
-        "__base", base_spans(F.col("__text"))
+    """(row, text, base, extra): ``columns`` as one struct, so that no name clashes."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    based = docs.select(row.alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn(
+        "base", base_spans(F.col("text"))
     )
-    return based.withColumn("__extra", candidates(F.col("__text"), F.col("__base")))
+    return based.withColumn("extra", candidates(F.col("text"), F.col("base")))
 
 
 def _digits3(code: int) -> list[int]:
@@ -268,8 +270,8 @@ def fit_votes(counts: dict[int, int]) -> tuple[dict[int, float], list[tuple[floa
 def train(docs: DataFrame) -> SpanModel:
     """The model of all candidates in ``docs``."""
     rows = (
-        _with_spans(docs, [])
-        .select(F.explode("__extra").alias("c"))
+        _with_spans(docs, ["text"])
+        .select(F.explode("extra").alias("c"))
         .groupBy("c.kind", "c.votes", "c.features")
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()
@@ -330,12 +332,12 @@ def find_private(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     """
     model = model or train(docs)
     held = _with_spans(docs, ["doc_id"])
-    count = lambda k: F.size(F.filter("__base", lambda x: x["kind"] == k)).cast("long")
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
     return held.select(
-        "doc_id",
+        "row.doc_id",
         *[count(k).alias(f"n_{KINDS[k]}") for k in range(N_BASE)],
-        _listed(F.col("__base")).alias("base"),
-        _listed(_added(F.col("__base"), F.col("__extra"), model)).alias("spans"),
+        _listed(F.col("base")).alias("base"),
+        _listed(_added(F.col("base"), F.col("extra"), model)).alias("spans"),
     )
 
 
@@ -347,7 +349,7 @@ def redact(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     model = model or train(docs)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     held = _with_spans(docs, docs.columns)
-    text = F.col("__text")
+    text = F.col("text")
 
     def masked(spans: Column) -> Column:
         # up to where earlier spans reach
@@ -365,9 +367,10 @@ def redact(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
         tail = lambda done: F.substr(text, F.element_at(done, -1) + 1, F.length(text))
         return bind(reach, lambda done: F.concat(F.array_join(piece(done), ""), tail(done)))
 
-    spans = _added(F.col("__base"), F.col("__extra"), model)
+    spans = _added(F.col("base"), F.col("extra"), model)
     clean = bind(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(masked(s)))
-    return held.withColumn("text", F.when(F.col("text").isNotNull(), clean)).select(*docs.columns)
+    own = F.col("row.text")
+    return held.select(F.col("row").withField("text", F.when(own.isNotNull(), clean)).alias("row")).select("row.*")
 
 
 def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def brute(text, items):
     return len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)
 
 
-@pytest.mark.parametrize("block_bytes", [10_000_000, 300])
+@pytest.mark.parametrize("block_bytes", [10_000_000, 300, 700])
 def test_equals_brute_force(frame, prose, block_bytes):
     items = [(k, prose(k, 20 + k)) for k in range(8)] + [(8, "Ab c"), (9, None), (10, "!!"), (0, prose(99, 15))]
     texts = ODD_TEXTS + [prose(100 + k, 80) for k in range(6)]
@@ -62,3 +62,15 @@ def test_index_finds_and_locates():
     for row, a, b in zip(rows, low, high):
         want = [k for k in range(len(text) - 6) if (text[k : k + 6] == row).all()]
         assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+@pytest.mark.parametrize("block_bytes", [10_000_000, 40])
+def test_rows_keep_their_columns(frame, prose, block_bytes):
+    docs = frame([(1, f"{prose(1, 9)} a b c d e f g h i j k l m"), (2, prose(2, 50))], "doc_id bigint, text string").selectExpr(
+        "*", "array(doc_id) as `n_words`", "named_struct('x', text) as `a.b`"
+    )
+    bench = frame([(7, "a b c d e f g h i j k l m"), (8, "v w x y z and others"), (9, None)], "item_id bigint, text string")
+    judged = dc.judge_rows(docs, bench, block_bytes)
+    got = {r.row.doc_id: r for r in judged.collect()}
+    assert {d: r.contaminated for d, r in got.items()} == {1: True, 2: False} and got[1]["items"] == ["7"]
+    assert all(r.row.n_words == [d] and r.row["a.b"].x == r.row.text for d, r in got.items())

@@ -2,6 +2,7 @@ import hashlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fiscalake.llm import bpe
@@ -96,3 +97,18 @@ def test_every_row_has_its_own_verdict(spark, prose):
     assert survivors(corpus_pipeline.decontamination_stage, docs) == sorted([(1, clean), (None, clean)], key=repr)
     docs = documents(spark, [(1, clean), (1, ""), (1, None), (None, ""), (None, clean), (None, None)])
     assert survivors(corpus_pipeline.language_stage, docs) == sorted([(1, clean), (None, clean)], key=repr)
+
+
+def test_clashing_names_pass_every_stage(spark, prose):
+    """Columns called as those that stages use inside; none is dropped or overwritten."""
+    names = ["key", "row", "n", "rest", "text_", "base", "extra", "spans", "items", "digest", "n_words", "kept", "g", "o", "__text", "__key", "a.b"]
+    docs = documents(spark, [(k, prose(k, 80)) for k in range(4)] + [(None, None)]).drop("n_chars")
+    wide = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide = stage(spark, wide, SF_DIR)
+        assert wide.columns == [*docs.columns, *names]
+    rows = wide.collect()
+    assert {r.doc_id for r in rows} == {0, 1, 2, 3}
+    assert all([r[c] for c in names] == [f"own {c}" for c in names] for r in rows)
+    assert [name for name, _ in corpus_pipeline.STAGES[-1:]] == ["tokens"]
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF_DIR).count() == 4
