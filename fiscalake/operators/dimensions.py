@@ -102,20 +102,38 @@ def with_supplier_key(expenses: DataFrame) -> DataFrame:
     )
 
 
-def dim_supplier(expenses: DataFrame) -> DataFrame:
-    """Suppliers with their current name: latest date, then most rows, then name.
+def supplier_occurrences(expenses: DataFrame, *origin: str) -> DataFrame:
+    """How often each name of a supplier was seen on each date, in each ``origin`` if given.
 
-    Three aggregations, each with map-side combining and each over the shrunken
-    output of the one before, so a supplier holding a large share of all rows is
-    never brought into one task as rows. The first row by rank is the minimum of
-    an ordering struct, which needs neither a window nor a join back.
+    Counts of several origins add up, so they can be kept apart, replaced and taken back.
     """
-    occurrences = (
+    return (
         with_supplier_key(expenses)
         .where(F.col("fornecedor_bk").isNotNull())
-        .groupBy("fornecedor_bk", "id_fornecedor", "nm_fornecedor", "dt_emissao_despesa")
+        .groupBy(*origin, "fornecedor_bk", "id_fornecedor", "nm_fornecedor", "dt_emissao_despesa")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def merged_occurrences(occurrences: DataFrame) -> DataFrame:
+    """Occurrences of several origins as those of one."""
+    keys = ("fornecedor_bk", "id_fornecedor", "nm_fornecedor", "dt_emissao_despesa")
+    return occurrences.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def dim_supplier(expenses: DataFrame) -> DataFrame:
+    """Suppliers with their current name: latest date, then most rows, then name."""
+    return suppliers_of(supplier_occurrences(expenses))
+
+
+def suppliers_of(occurrences: DataFrame) -> DataFrame:
+    """The supplier dimension from counted occurrences.
+
+    Three aggregations, with the one that counts, each with map-side combining and each over
+    the shrunken output of the one before, so a supplier holding a large share of all rows is
+    never brought into one task as rows. The first row by rank is the minimum of
+    an ordering struct, which needs neither a window nor a join back.
+    """
     date_seen = F.col("dt_emissao_despesa")
     latest_first = F.struct(
         date_seen.isNull().alias("undated"),

@@ -114,8 +114,13 @@ def _with_expense_keys(rows: DataFrame, dims: ExpenseDimensions | None) -> DataF
     )
 
 
-def fct_expense(silver: DataFrame, dims: ExpenseDimensions | None = None) -> DataFrame:
-    """One row per expense event; shuffle-free unless dimensions have to be joined."""
+def fct_expense(
+    silver: DataFrame, dims: ExpenseDimensions | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per expense event; shuffle-free unless dimensions have to be joined.
+
+    Further Silver columns in ``keep`` stay beside the fact's own.
+    """
     return _with_expense_keys(with_supplier_key(silver), dims).select(
         expense_fingerprint().alias("despesa_sk"),
         "municipio_sk",
@@ -130,6 +135,7 @@ def fct_expense(silver: DataFrame, dims: ExpenseDimensions | None = None) -> Dat
         "vl_despesa",
         "id_fornecedor",
         F.col("nm_fornecedor").alias("nm_fornecedor_origem"),
+        *keep,
     )
 
 
@@ -185,14 +191,17 @@ def _with_revenue_keys(rows: DataFrame, dims: RevenueDimensions | None) -> DataF
     return _join_through_tuples(rows, ("municipio", "orgao", *texts, "ds_subalinea"), with_keys)
 
 
-def _keyed_contents(rows: DataFrame, dims: RevenueDimensions | None) -> DataFrame:
+def _keyed_contents(
+    rows: DataFrame, dims: RevenueDimensions | None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Distinct revenue contents with row count, keys and fingerprint.
 
     Keys are hashed or joined per content: copies cost nothing. ``shared`` marks contents
     that may have their fingerprint in common: a missing year or month makes the period key
     NULL, and a dimension that does not know a subclass gives different texts one member.
+    Columns in ``keep`` tell contents apart as well.
     """
-    counted = rows.groupBy(*_REVENUE_CONTENT).agg(
+    counted = rows.groupBy(*_REVENUE_CONTENT, *keep).agg(
         F.count(F.lit(1)).alias("copies"),
         # Aggregated, although these judge grouping columns: a filter on the columns
         # themselves would move below the shuffle, where it would split the shuffle in
@@ -212,6 +221,39 @@ def _keyed_contents(rows: DataFrame, dims: RevenueDimensions | None) -> DataFram
     )
 
 
+_REVENUE_KEYS = (
+    "municipio_sk",
+    "orgao_sk",
+    "tempo_sk",
+    "fonte_recurso_sk",
+    "aplicacao_sk",
+    "alinea_sk",
+    "subalinea_sk",
+)
+
+#: What a revenue occurrence says, as the fact stores it; with the fingerprint it is its content.
+_OCCURRENCE = (
+    "receita_fingerprint",
+    *_REVENUE_KEYS,
+    "exercicio",
+    "mes",
+    "vl_arrecadacao",
+    "nm_orgao_origem",
+    *_REVENUE_TEXTS,
+    "ds_subalinea",
+)
+
+
+def _as_occurrences(numbered: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return numbered.select(
+        hash_key(F.col("receita_fingerprint"), F.col("nr_ocorrencia")).alias("receita_sk"),
+        "receita_fingerprint",
+        "nr_ocorrencia",
+        *_OCCURRENCE[1:],
+        *keep,
+    )
+
+
 def fct_revenue(
     silver: DataFrame,
     dims: RevenueDimensions | None = None,
@@ -233,23 +275,50 @@ def fct_revenue(
         order=("exercicio", "mes", "ds_subalinea"),
         copies_per_task=copies_per_task,
     )
-    return numbered.select(
-        hash_key(F.col("receita_fingerprint"), F.col("nr_ocorrencia")).alias("receita_sk"),
-        "receita_fingerprint",
-        "nr_ocorrencia",
-        "municipio_sk",
-        "orgao_sk",
-        "tempo_sk",
-        "fonte_recurso_sk",
-        "aplicacao_sk",
-        "alinea_sk",
-        "subalinea_sk",
-        "exercicio",
-        "mes",
-        "vl_arrecadacao",
-        F.col("orgao").alias("nm_orgao_origem"),
-        "ds_fonte_recurso",
-        "ds_cd_aplicacao_fixo",
-        "ds_alinea",
-        "ds_subalinea",
+    return _as_occurrences(numbered.withColumnRenamed("orgao", "nm_orgao_origem"))
+
+
+def revenue_contents(silver: DataFrame, origin: str) -> DataFrame:
+    """Counted revenue contents of each ``origin``, a column of ``silver``, with their fingerprint."""
+    keyed = _keyed_contents(silver, None, (origin,)).withColumnRenamed("orgao", "nm_orgao_origem")
+    return keyed.select(*_OCCURRENCE, origin, "copies")
+
+
+def revise_revenue(
+    occurrences: DataFrame,
+    contents: DataFrame,
+    origins: Sequence[str],
+    origin: str,
+    copies_per_task: int = COPIES_PER_TASK,
+) -> DataFrame:
+    """``occurrences`` with what ``origins`` said before replaced by ``contents``.
+
+    ``occurrences`` are rows of the fact with their ``origin``, ``contents`` the counted new
+    contents of ``origins``. Both sides are counted with opposite signs: where nothing is
+    left, nothing has changed. Fingerprints with a difference are numbered anew over all their
+    origins, all other rows stay as they are. Doing it again changes nothing.
+    """
+    content = [*_OCCURRENCE, origin]
+    replaced = F.col(origin).isin(list(origins))
+    counted = occurrences.groupBy(*content).agg(F.count(F.lit(1)).alias("copies"))
+    before = counted.where(replaced).withColumn("copies", -F.col("copies"))
+    changed = (
+        before.unionByName(contents)
+        .groupBy(*content)
+        .agg(F.sum("copies").alias("copies"))
+        .where(F.col("copies") != 0)
+        .select("receita_fingerprint")
+        .distinct()
+    )
+    touched = lambda df: df.join(changed, "receita_fingerprint", "left_semi")
+    numbered = number_copies(
+        touched(counted.where(~replaced).unionByName(contents)).withColumn("shared", F.lit(True)),
+        copies="copies",
+        number="nr_ocorrencia",
+        key="receita_fingerprint",
+        shared="shared",
+        order=("exercicio", "mes", "ds_subalinea", origin),
+        copies_per_task=copies_per_task,
     )
+    kept = occurrences.join(changed, "receita_fingerprint", "left_anti")
+    return kept.unionByName(_as_occurrences(numbered, (origin,)))
