@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalake.functions.parse import br_date, br_decimal, month_number
@@ -13,7 +13,7 @@ from fiscalake.operators import contracts, indicators, profile, quality, reconci
 from fiscalake.operators import dimensions as D
 from fiscalake.operators import facts as FC
 from fiscalake.operators import periods
-from fiscalake.plans import lake, publish
+from fiscalake.plans import lake, months, publish
 from fiscalake.plans.checks import run_all_checks
 from fiscalake.plans.silver import silver_expenses
 from fiscalake.queries import derive as S
@@ -31,6 +31,7 @@ from fiscalake.queries.oracle import (
 from fiscalake.session import scratch_path
 from fiscalake.sources import landing, manifests, snapshots
 from fiscalake.sources.schemas import BRONZE_COLUMNS, EXPENSES, REVENUES, SOURCE_PATH
+from fiscalake.streaming import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,24 +116,25 @@ def _landed_json_sql(columns: str) -> str:
     return f"'[{{' || {parts} || '}}]' || chr(10)"
 
 
+_WORDS = " || ".join(
+    f"lpad(to_hex(sum(('0x' || substr(sha, {8 * k + 1}, 8))::bigint)::bigint % 4294967296), 8, '0')" for k in range(8)
+)
+
+
 @_query(
     sql(
         f"""select municipio as municipality, exercicio as year, mes_particao as month,
-          strlen(line)::bigint as content_length_bytes, sha256(line) as sha256
-        from (select *, {_landed_json_sql('orgao, mes, evento, nr_empenho, id_fornecedor, nm_fornecedor, dt_emissao_despesa, vl_despesa')} as line
-              from raw_exp qualify row_number() over (partition by municipio, exercicio, mes_particao order by k) = 1)""",
+          count(*)::bigint as records, lower({_WORDS}) as checksum
+        from (select *, sha256(rtrim({_landed_json_sql('orgao, mes, evento, nr_empenho, id_fornecedor, nm_fornecedor, dt_emissao_despesa, vl_despesa')}, chr(10))) as sha
+              from raw_exp) group by all""",
         "raw_exp",
     )
 )
 def landed_checksums(spark, sf):
-    """Bytes and checksum of what landed, for the first record of every month."""
-    records = _orders_as_records(spark, sf)
-    first = records.groupBy(*snapshots.PARTITION).agg(F.min("o_orderkey").alias("o_orderkey"))
-    one = records.join(first, [*snapshots.PARTITION, "o_orderkey"])
+    """All records land; a checksum of each month's content, however it is dealt over files."""
     base = scratch_path(spark, "landed")
-    landing.land(one, base, f"{base}/manifest", EXPENSES, planned=first)
-    runs_ = manifests.read_ingestion_runs(spark, f"{base}/manifest")
-    return runs_.select("municipality", "year", "month", "content_length_bytes", "sha256")
+    landing.write_snapshots(_orders_as_records(spark, sf), base, EXPENSES, S.STAMP)
+    return landing.content_checksums(spark, base, EXPENSES, S.STAMP)
 
 
 @_query(
@@ -1003,6 +1005,128 @@ def ingestion_runs_from_files(spark, sf):
     return found.withColumn("file_month", month).drop("manifest_file")
 
 
+# ---- refresh by month -------------------------------------------------------------
+
+_NEWER = "20240201T000000Z"
+
+
+def _landed_month() -> Column:
+    return F.col("mes_particao")
+
+
+def _expense_changes(records: DataFrame) -> DataFrame:
+    """March without commitments, April with new names, no December."""
+    renamed = F.when(_landed_month() == 4, F.concat("nm_fornecedor", F.lit(" NOVO"))).otherwise(F.col("nm_fornecedor"))
+    kept = _landed_month().isin(3, 4) & ~((_landed_month() == 3) & (F.col("evento") == "Empenhado"))
+    return records.where(kept).withColumn("nm_fornecedor", renamed)
+
+
+def _revenue_changes(records: DataFrame) -> DataFrame:
+    """March without one source, April of another organisation, no December."""
+    moved = F.when(_landed_month() == 4, F.lit("ORGAO NOVO")).otherwise(F.col("orgao"))
+    kept = _landed_month().isin(3, 4) & ~((_landed_month() == 3) & (F.col("ds_fonte_recurso") == "01 - TESOURO"))
+    return records.where(kept).withColumn("orgao", moved)
+
+
+def _arrivals(spark, sf, dataset: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All records of a dataset, the newer ones of some months, and these months."""
+    if dataset == EXPENSES:
+        records, change = S.as_parsed(_orders_as_records(spark, sf)), _expense_changes
+    else:
+        records, change = S.as_parsed(S.revenue_records(S.table(spark, sf, "lineitem"))), _revenue_changes
+    return records, change(records), records.where(_landed_month().isin(3, 4, 12)).select(*snapshots.PARTITION)
+
+
+def _refreshed(spark, sf, dataset: str) -> months.MonthLake:
+    """Built from one set of snapshots, then refreshed by newer ones of three months."""
+    root = scratch_path(spark, "bronze")
+    refreshed = months.MonthLake(spark, scratch_path(spark, "lake"))
+    records, newer, planned = _arrivals(spark, sf, dataset)
+    for rows_, stamp, plan in ((records, S.STAMP, None), (newer, _NEWER, planned)):
+        landing.write_snapshots(rows_, root, dataset, stamp, plan)
+        found = months.pending(refreshed, dataset, snapshots.list_files(spark, root, dataset))
+        months.apply_changes(refreshed, {dataset: found})
+    return refreshed
+
+
+@_query(rows("f_exp_new"))
+def month_replacement(spark, sf):
+    """The expense fact after a refresh that corrects two months and empties one."""
+    return _refreshed(spark, sf, EXPENSES).read("fct_despesas")
+
+
+@_query(rows("f_rev_new"))
+def month_replacement_revenue(spark, sf):
+    """The revenue fact after such a refresh: only changed fingerprints are numbered anew."""
+    return _refreshed(spark, sf, REVENUES).read("fct_receitas")
+
+
+@_query(rows("d_sup_new"))
+def month_replacement_supplier(spark, sf):
+    """Suppliers from counted names by month, after names were corrected and taken back."""
+    return _refreshed(spark, sf, EXPENSES).read("dim_fornecedor")
+
+
+@_query(
+    sql(
+        """select 'despesas' as "table", despesa_sk as sk from f_exp_new
+        union all select 'receitas', receita_sk from f_rev_new
+        union all select 'fornecedores', fornecedor_sk || '/' || nm_fornecedor_atual from d_sup_new""",
+        "f_exp_new",
+        "f_rev_new",
+        "d_sup_new",
+    )
+)
+def streaming_refresh(spark, sf):
+    """Three batches of manifest rows, the last one applied twice; both datasets."""
+    base, lake_root = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    manifest = f"{base}/manifest"
+    streamed = months.MonthLake(spark, lake_root)
+    datasets = {d: _arrivals(spark, sf, d) for d in (EXPENSES, REVENUES)}
+
+    def step(land: Callable) -> None:
+        for dataset, arrived in datasets.items():
+            land(dataset, *arrived)
+        refresh.start_refresh(streamed, manifest, f"{lake_root}/checkpoint").awaitTermination()
+
+    def half(months_: Column, stamp: str) -> Callable:
+        return lambda d, rows_, newer, planned: landing.land(
+            rows_.where(months_), base, manifest, d, planned=rows_.where(months_), stamp=stamp
+        )
+
+    step(half(_landed_month() <= 6, S.STAMP))
+    step(half(_landed_month() > 6, "20240101T000001Z"))
+    step(lambda d, rows_, newer, planned: landing.land(newer, base, manifest, d, planned=planned, stamp=_NEWER))
+    # Spark repeats a batch whose commit it does not find
+    refresh.apply_batch(streamed, "refresh", None, spark.read.text(manifest), 2)
+    supplier = F.concat_ws("/", "fornecedor_sk", "nm_fornecedor_atual")
+    parts = (("fct_despesas", F.col("despesa_sk")), ("fct_receitas", F.col("receita_sk")), ("dim_fornecedor", supplier))
+    found = [
+        streamed.read(t).select(F.lit(n).alias("table"), key.alias("sk"))
+        for (t, key), n in zip(parts, ("despesas", "receitas", "fornecedores"))
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@_query(
+    sql(
+        """select * exclude (arquivo_origem) from stg_exp where mes <> 4
+        union all select * exclude (arquivo_origem) from stg_exp where mes = 4 and evento = 'Valor Pago'""",
+        "stg_exp",
+    )
+)
+def committed_rows(spark, sf):
+    """A newer stamp is finished for April and half-written for May: May stays as it was."""
+    base = scratch_path(spark, "landed")
+    manifest, records = f"{base}/manifest", S.as_parsed(_orders_as_records(spark, sf))
+    landing.land(records, base, manifest, EXPENSES, planned=records, stamp=S.STAMP)
+    april = records.where((_landed_month() == 4) & (F.col("evento") == "Valor Pago"))
+    landing.land(april, base, manifest, EXPENSES, planned=records.where(_landed_month() == 4), stamp="20240201T000000Z")
+    landing.write_snapshots(records.where((_landed_month() == 5) & (F.col("o_orderkey") % 2 == 0)), base, EXPENSES, "20240301T000000Z")
+    finished = manifests.read_ingestion_runs(spark, manifest)
+    return silver_expenses(snapshots.read_latest(spark, base, EXPENSES, runs=finished)).drop(SOURCE_PATH)
+
+
 # ---- serving ---------------------------------------------------------------------
 
 @_query(rows("full_runs"))
