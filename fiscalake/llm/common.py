@@ -51,6 +51,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def use_small_batches(spark: SparkSession) -> None:
+    """Hand rows with whole texts to Python tasks in small batches, here and later in the session."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= ROWS_PER_BATCH:
+        spark.conf.set(_BATCH, ROWS_PER_BATCH)
+
+
 def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
     """Slices of about ``most_bytes`` bytes of text; a longer text is a slice of its own."""
     start, held = 0, 0

@@ -26,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,7 @@ WINDOW = 13
 #: Contaminated from one hit word in so many.
 HIT_SHARE = 20
 #: Bytes of benchmark text in a block, and of training text in a shard.
-BLOCK_BYTES, SHARD_BYTES = 16_000_000, 8_000_000
+BLOCK_BYTES, SHARD_BYTES = 16_000_000, 4_000_000
 #: Every so many positions of the text keep their suffix.
 SAMPLE = 16
 
@@ -215,6 +216,22 @@ def merged(spans: list[int]) -> list[int]:
     return out
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.StructArray]:
+    """The rows in arrays of about SHARD_BYTES of text, however large Spark's batches are."""
+    held: list[pa.StructArray] = []
+    size = 0
+    for batch in batches:
+        rows = batch.column("row")
+        for a, b in text_slices(rows.field("text"), SHARD_BYTES):
+            held.append(rows.slice(a, b - a))
+            size += pc.sum(pc.binary_length(rows.field("text").slice(a, b - a))).as_py() or 0
+            if size >= SHARD_BYTES:
+                yield pa.concat_arrays(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_arrays(held)
+
+
 def _search(docs: DataFrame, items: list[tuple[str, str]], keep: Sequence[str]) -> DataFrame:
     """(row, digest, n_words, spans, items): each row of ``docs`` with its hits.
 
@@ -224,23 +241,20 @@ def _search(docs: DataFrame, items: list[tuple[str, str]], keep: Sequence[str])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(items)
-        for batch in batches:
-            every = batch.column("row")
-            for a, b in text_slices(every.field("text"), SHARD_BYTES):
-                some = every.slice(a, b - a)
-                columns = dict(zip([f.name for f in every.type], some.flatten()))
-                texts = columns["text"].to_pylist()
-                counts, spans, found = search_shard(texts, phrases)
-                digests = [hashlib.sha256((t or "").encode()).digest() for t in texts]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": pa.StructArray.from_arrays([columns[n] for n in keep], list(keep)),
-                        "digest": pa.array(digests, pa.binary()),
-                        "n_words": pa.array(counts, pa.int64()),
-                        "spans": pa.array([merged(x) for x in spans], pa.list_(pa.int64())),
-                        "items": pa.array([sorted(x) for x in found], pa.list_(pa.string())),
-                    }
-                )
+        for rows in _shards(batches):
+            columns = dict(zip([f.name for f in rows.type], rows.flatten()))
+            texts = columns["text"].to_pylist()
+            counts, spans, found = search_shard(texts, phrases)
+            digests = [hashlib.sha256((t or "").encode()).digest() for t in texts]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row": pa.StructArray.from_arrays([columns[n] for n in keep], list(keep)),
+                    "digest": pa.array(digests, pa.binary()),
+                    "n_words": pa.array(counts, pa.int64()),
+                    "spans": pa.array([merged(x) for x in spans], pa.list_(pa.int64())),
+                    "items": pa.array([sorted(x) for x in found], pa.list_(pa.string())),
+                }
+            )
 
     schema = T.StructType(
         [
