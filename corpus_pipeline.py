@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all documents that the stag
 kept. ``docs`` have doc_id, text, lang and source; n_chars is optional and further columns of
 any name are kept up to the last stage. Each row has its own verdict, also without an id or
 with an id that others have. What a stage rejects by a join is stored as short keys, whose
-measured size decides whether Spark broadcasts them or joins by shuffling.
+measured size decides whether Spark broadcasts them or joins by shuffling. Stages with Python
+tasks lower the session's Arrow batches to 500 rows, as rows hold whole texts.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalake.llm import bpe, decontaminate, language, minhash, private
-from fiscalake.llm.common import stored, table
+from fiscalake.llm.common import stored, table, use_small_batches
 
 #: A character of a word, as near-duplicates split them.
 WORD = r"[^\x20\x09-\x0D]"
@@ -71,6 +72,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` without contaminated rows; rows carry their verdict and pass by once."""
+    use_small_batches(spark)
     judged = decontaminate.judge_rows(docs, table(spark, sf_dir, "benchmark"))
     return judged.where(~F.col("contaminated")).select("row.*")
 
@@ -86,6 +88,7 @@ def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    use_small_batches(spark)
     return bpe.encode_documents(
         docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
