@@ -31,6 +31,43 @@ def distinct_of_both(expenses: DataFrame, revenues: DataFrame, *columns: str) ->
     return expenses.select(*columns).unionByName(revenues.select(*columns)).distinct()
 
 
+#: Columns of the distinct members of each kind.
+MEMBERS = {
+    "place": ("municipio", "orgao"),
+    "period": ("exercicio", "mes"),
+    "source": ("ds_fonte_recurso",),
+    "application": ("ds_cd_aplicacao_fixo",),
+    "class": ("ds_alinea",),
+    "subclass": ("ds_subalinea",),
+}
+_OF_BOTH = ("place", "period")
+
+
+def distinct_members(expenses: DataFrame, revenues: DataFrame) -> DataFrame:
+    """(kind, a, b): what all dimensions but the supplier's are made of, from one scan of each side.
+
+    Each row gives a member of every kind; tasks keep the distinct ones, which are few, before
+    the one shuffle.
+    """
+
+    def members(rows: DataFrame, kinds) -> DataFrame:
+        each = []
+        for kind in kinds:
+            names = [F.col(c).cast("string") for c in MEMBERS[kind]]
+            a, b = (names + [F.lit(None).cast("string")])[:2]
+            each.append(F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b")))
+        return rows.select(F.inline(F.array(*each)))
+
+    return members(expenses, _OF_BOTH).unionByName(members(revenues, MEMBERS)).distinct()
+
+
+def members_of(members: DataFrame, kind: str) -> DataFrame:
+    """The members of a kind under the names that the dimensions read."""
+    number = "int" if kind == "period" else "string"
+    columns = [F.col(x).cast(number).alias(name) for x, name in zip("ab", MEMBERS[kind])]
+    return members.where(F.col("kind") == kind).select(*columns)
+
+
 def _known(field: int, otherwise: Column) -> Column:
     case = None
     for slug, values in KNOWN_MUNICIPALITIES.items():

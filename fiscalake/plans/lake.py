@@ -13,6 +13,7 @@ from fiscalake.operators import dimensions as D
 from fiscalake.operators.contracts import EXPENSE_CONTRACT, REVENUE_CONTRACT
 from fiscalake.operators.facts import fct_expense, fct_revenue
 from fiscalake.plans.silver import silver_expenses, silver_revenues
+from fiscalake.session import scratch_path
 from fiscalake.sources.schemas import EXPENSES, REVENUES
 from fiscalake.sources.snapshots import read_latest
 
@@ -115,24 +116,42 @@ def write_silver(
     _write_together(lake, {"stg_despesas": expenses, "stg_receitas": revenues})
 
 
+def member_dimensions(members: DataFrame, as_of: date | None) -> dict[str, Callable[[], DataFrame]]:
+    """The models of all dimensions that follow from stored ``distinct_members``."""
+    of = {kind: D.members_of(members, kind) for kind in D.MEMBERS}
+    nothing = {kind: of[kind].limit(0) for kind in ("place", "period")}
+    return {
+        "dim_municipio": lambda: D.dim_municipality(of["place"], nothing["place"]),
+        "dim_orgao": lambda: D.dim_organisation(of["place"], nothing["place"]),
+        "dim_tempo": lambda: D.dim_calendar(of["period"], nothing["period"], as_of),
+        "dim_fonte_recurso": lambda: D.dim_source(of["source"]),
+        "dim_aplicacao": lambda: D.dim_application(of["application"]),
+        "dim_alinea": lambda: D.dim_class(of["class"]),
+        "dim_subalinea": lambda: D.dim_subclass(of["subclass"]),
+    }
+
+
 def write_gold(lake: Lake, as_of: date | None = None) -> None:
-    """Gold from the stored Silver, which is read back as columns by every model."""
+    """Gold from the stored Silver, which facts, suppliers and members read once each.
+
+    Seven dimensions then follow from the distinct members, which are few and stored.
+    """
     expenses, revenues = lake.read("stg_despesas"), lake.read("stg_receitas")
-    _write_together(
-        lake,
-        {
-            "fct_despesas": lambda: fct_expense(expenses),
-            "fct_receitas": lambda: fct_revenue(revenues),
-            "dim_fornecedor": lambda: D.dim_supplier(expenses),
-            "dim_municipio": lambda: D.dim_municipality(expenses, revenues),
-            "dim_orgao": lambda: D.dim_organisation(expenses, revenues),
-            "dim_tempo": lambda: D.dim_calendar(expenses, revenues, as_of),
-            "dim_fonte_recurso": lambda: D.dim_source(revenues),
-            "dim_aplicacao": lambda: D.dim_application(revenues),
-            "dim_alinea": lambda: D.dim_class(revenues),
-            "dim_subalinea": lambda: D.dim_subclass(revenues),
-        },
+    path = scratch_path(lake.spark, "members")
+
+    def dimensions() -> None:
+        found = D.distinct_members(expenses, revenues)
+        found.write.parquet(path)
+        _write_together(lake, member_dimensions(lake.spark.read.schema(found.schema).parquet(path), as_of))
+
+    steps = (
+        dimensions,
+        lambda: lake.write("fct_receitas", fct_revenue(revenues)),
+        lambda: lake.write("fct_despesas", fct_expense(expenses)),
+        lambda: lake.write("dim_fornecedor", D.dim_supplier(expenses)),
     )
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        list(pool.map(lambda step: step(), steps))
 
 
 def build(

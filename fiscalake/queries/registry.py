@@ -30,7 +30,7 @@ from fiscalake.queries.oracle import (
     sql,
 )
 from fiscalake.session import scratch_path
-from fiscalake.sources import landing, manifests, snapshots
+from fiscalake.sources import landing, manifests, snapshots, tail
 from fiscalake.sources.schemas import BRONZE_COLUMNS, EXPENSES, REVENUES, SOURCE_PATH
 from fiscalake.streaming import refresh
 
@@ -1052,6 +1052,32 @@ def ingestion_runs_from_files(spark, sf):
     return _numbered_on(found).withColumn("file_month", month).drop("manifest_folder")
 
 
+@_query(
+    sql(
+        """select case when r.manifest_line_number <= (select max(event_id) + 1 from events) // 2 then 1 else 2 end as read_no,
+          run_id, status, dataset, municipality, year, month, record_count
+        from ing_runs r""",
+        "ing_runs",
+    )
+)
+def manifest_tail(spark, sf):
+    """Half of the manifest is read, the rest arrives in further files and is read on its own."""
+    path, state = scratch_path(spark, "manifest"), scratch_path(spark, "manifest-state")
+    lines = S.ingestion_lines(spark, sf)
+    middle = F.lit(S.table(spark, sf, "events").agg(F.max("event_id") + 1).first()[0] // 2)
+    found = []
+    for read_no, rows_ in enumerate((F.col("line_number") <= middle, F.col("line_number") > middle), start=1):
+        arrived = lines.where(rows_).repartitionByRange("line_number").sortWithinPartitions("line_number")
+        target = f"{path}/part={read_no}"
+        arrived.select(F.col("line").alias("value")).write.text(target)
+        read = tail.read_tail(spark, path, state, manifests.parse_ingestion_runs)
+        found.append(read.parsed.runs.withColumn("read_no", F.lit(read_no)))
+        read.commit()
+    return found[0].unionByName(found[1]).select(
+        "read_no", "run_id", "status", "dataset", "municipality", "year", "month", "record_count"
+    )
+
+
 # ---- refresh by month -------------------------------------------------------------
 
 _NEWER = "20240201T000000Z"
