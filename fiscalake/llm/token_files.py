@@ -2,11 +2,13 @@
 
 Texts are dealt to shards by ranges of ``doc_id``, encoded with a tokenizer file, and
 every shard is written as a sequence of blocks in ascending order. A block's ids are
-compressed by a grammar: in each round the frequent pairs of neighbours are counted and
-replaced by new symbols, so that later rounds build pairs of pairs. The file keeps the
+compressed by a grammar: in each round the pairs of neighbours are counted and all that pay
+for a rule are replaced by new symbols, the frequent ones first where they overlap, so that
+later rounds build pairs of pairs. It ends when no pair pays any more. The file keeps the
 rules, how many ids each new symbol stands for, and where each document begins, so that one
-document is decoded without the others. No pair begins with the end id, hence no symbol
-spans two documents.
+document is decoded without the others. No pair begins with the end id or a symbol that ends
+in it, hence no symbol spans two documents. A shard has one grammar for each block and not one
+for all: a task holds the ids of a block alone, and one document is read with its block.
 
 Files are Parquet in the folder that the caller names: Spark's writer puts them into any
 store and commits a task's output once, also when executors are lost.
@@ -33,17 +35,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fiscalake.llm.common import UPPER, table
+from fiscalake.llm.common import UPPER, lean, table, text_slices
 from fiscalake.session import scratch_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
-#: Rounds of counting and replacing, new symbols in a round, least count of a pair.
-ROUNDS, SYMBOLS_PER_ROUND, LEAST_COUNT = 4, 256, 32
+#: Least times that a pair is replaced.
+LEAST_COUNT = 4
+NEVER = np.iinfo(np.int64).max
 #: Counters that find the frequent pairs before they are counted exactly.
 COUNTERS_LOG2 = 20
-#: Words a worker remembers the ids of, and texts it encodes together.
-MEMORY, TEXTS = 1_500_000, 1000
+#: Words and bytes of words a worker remembers, and bytes of texts it encodes together.
+MEMORY, MEMORY_BYTES, SLICE_BYTES = 1_500_000, 30_000_000, 2_000_000
 
 _SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
 _LOWER = _SPACES.translate(bytes.maketrans(UPPER.encode(), UPPER.lower().encode()))
@@ -93,7 +96,8 @@ class WordCache:
     The tokenizer's rules never look across white space, and it puts letters into lower
     case, so a text's ids are those of its lower-case words. Words are told apart by 64-bit
     hashes; what is kept for one takes few bytes, so the words met first, which are the
-    common ones, are kept by the million. New words are encoded many at a time. Plain ones,
+    common ones, are kept by the million. Their bytes are kept too and compared whenever a hash
+    is met; should two words share one, the texts at hand go through the whole tokenizer. New words are encoded many at a time. Plain ones,
     letters of ASCII or Latin-1 and then perhaps other signs, need no normaliser; the token
     that ends a piece is marked in the vocabulary. All others go through the whole
     tokenizer, one by one.
@@ -124,6 +128,9 @@ class WordCache:
         self.table = HashTable(MEMORY.bit_length())
         self.ids = np.empty(0, dtype="<u4")
         self.sizes = np.empty(0, dtype=np.int64)
+        # the bytes of each word, and where they begin
+        self.spelled = np.empty(0, dtype=np.uint8)
+        self.begins = np.zeros(1, dtype=np.int64)
 
     def _whole(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [word.decode("utf-8") for word in words]
@@ -163,6 +170,21 @@ class WordCache:
         mixed ^= mixed >> np.uint64(32)
         return np.maximum(mixed * np.uint64(0x9E3779B97F4A7C15), np.uint64(1))
 
+    def _verified(self, raw, starts, lengths, at, word, number) -> bool:
+        """Whether all words of one hash are the same bytes, here and in memory."""
+        first = at[word]
+        if (lengths != lengths[first]).any():
+            return False
+        other = np.flatnonzero(first != np.arange(len(word)))
+        mine = _gathered(raw, starts[other], lengths[other])
+        if (mine != _gathered(raw, starts[first[other]], lengths[other])).any():
+            return False
+        held = np.flatnonzero(number >= 0)
+        begins, sizes = self.begins[number[held]], lengths[at[held]]
+        if (self.begins[number[held] + 1] - begins != sizes).any():
+            return False
+        return bool((_gathered(raw, starts[at[held]], sizes) == _gathered(self.spelled, begins, sizes)).all())
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = []
         for text in texts:
@@ -177,6 +199,10 @@ class WordCache:
             return [np.empty(0, dtype="<u4") for _ in texts]
         seen, at, word = np.unique(self._hashes(raw, starts, ends), return_index=True, return_inverse=True)
         number = self.table.get(seen)
+        lengths = ends - starts
+        if not self._verified(raw, starts, lengths, at, word, number):
+            found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+            return [np.array(f.ids, dtype="<u4") for f in found]
         missing = np.flatnonzero(number < 0)
         ids, sizes = self.ids, self.sizes
         if len(missing):
@@ -184,9 +210,13 @@ class WordCache:
             found, n, order = self._new([joined[a:b] for a, b in spans])
             number[missing[order]] = len(sizes) + np.arange(len(order))
             ids, sizes = np.concatenate([ids, found]), np.concatenate([sizes, n])
-            if len(sizes) <= MEMORY:
+            own = at[missing[order]]
+            spelled = _gathered(raw, starts[own], lengths[own])
+            if len(sizes) <= MEMORY and len(self.spelled) + len(spelled) <= MEMORY_BYTES:
                 self.table.add(seen[missing], number[missing])
                 self.ids, self.sizes = ids, sizes
+                self.spelled = np.concatenate([self.spelled, spelled])
+                self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths[own])])
         numbers = number[word]
         n = sizes[numbers]
         first, upto = np.cumsum(sizes) - sizes, np.cumsum(n)
@@ -202,71 +232,100 @@ def _shared_words(tokenizer_json: str) -> WordCache:
     return WordCache(tokenizer_json)
 
 
-def frequent_pairs(symbols: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
-    """The most frequent pairs that can be replaced at once: no symbol ends one and begins another.
+def _apart(rank: np.ndarray) -> np.ndarray:
+    """Places whose pair is replaced: better ones first, and never two that share a symbol.
 
-    Equal pairs of one symbol are left out, and so are pairs that begin with the end id.
+    ``rank`` has one number for each pair of neighbours, less is better, ``NEVER`` is none. A
+    place is taken if no neighbour is better. Of a run of equal pairs, which only one repeated
+    symbol makes, every second place is taken.
     """
-    left, right = symbols[:-1].astype(np.uint64), symbols[1:].astype(np.uint64)
-    pair = left << np.uint64(32) | right
-    slot = (pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)
-    slot = slot.astype(np.int64)
-    counts = np.bincount(slot, minlength=1 << COUNTERS_LOG2)
-    # a pair is at most as frequent as its counter; beyond 4 * most counters none is needed
-    high = np.sort(counts[counts >= least])
-    floor = max(least, int(high[-4 * most]) if len(high) >= 4 * most else 0)
-    exact, n = np.unique(pair[counts[slot] >= floor], return_counts=True)
-    order = np.argsort(-n, kind="stable")
-    begins: set[int] = set()
-    ends: set[int] = set()
-    chosen = []
-    for k in order.tolist():
-        if n[k] < least or len(chosen) == most:
-            break
-        a, b = int(exact[k] >> np.uint64(32)), int(exact[k] & np.uint64(0xFFFFFFFF))
-        if a != b and a != END_ID and a not in begins and a not in ends and b not in begins:
-            begins.add(a)
-            ends.add(b)
-            chosen.append((a, b))
-    return chosen
-
-
-def re_pair(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules, lengths, symbols): symbol ``base + k`` is the pair ``rules[k]`` of ``lengths[k]`` ids."""
-    symbols, rules, lengths = ids.astype(np.int64), [], []
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        chosen = frequent_pairs(symbols, SYMBOLS_PER_ROUND, LEAST_COUNT)
-        if not chosen:
+    at = np.arange(len(rank))
+    before = np.concatenate([[NEVER], rank[:-1]])
+    after = np.concatenate([rank[1:], [NEVER]])
+    first = rank != before
+    offset = at - np.maximum.accumulate(np.where(first, at, 0))
+    return (rank < NEVER) & (offset % 2 == 0) & (~first | (rank < before)) & (rank <= after)
+
+
+def _round(symbols: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, numbers, pairs): where which pair is replaced now; none if no pair pays.
+
+    A pair pays if it is replaced LEAST_COUNT times: a rule takes the space of three symbols.
+    """
+    pair = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
+    slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)
+    # a pair is at most as frequent as its counter
+    often = np.bincount(slot, minlength=1 << COUNTERS_LOG2)[slot] >= LEAST_COUNT
+    # what closes a document begins no pair: no symbol spans two
+    at = np.flatnonzero(often & ~closing[symbols[:-1]])
+    exact, which, n = np.unique(pair[at], return_inverse=True, return_counts=True)
+    pays = n >= LEAST_COUNT
+    order = np.empty(len(exact), dtype=np.int64)
+    order[np.argsort(-n, kind="stable")] = np.arange(len(exact))
+    number = np.full(len(pair), -1, dtype=np.int64)
+    number[at] = which
+    while pays.any():
+        rank = np.full(len(pair), NEVER, dtype=np.int64)
+        rank[at] = np.where(pays[which], order[which], NEVER)
+        places = np.flatnonzero(_apart(rank))
+        times = np.bincount(number[places], minlength=len(exact))
+        enough = times >= LEAST_COUNT
+        if enough.any():
+            places = places[enough[number[places]]]
+            kept = np.flatnonzero(enough)
+            renamed = np.full(len(exact), -1, dtype=np.int64)
+            renamed[kept] = np.arange(len(kept))
+            pairs = np.stack([exact[kept] >> np.uint64(32), exact[kept] & np.uint64(0xFFFFFFFF)], axis=1)
+            return places, renamed[number[places]], pairs.astype(np.int64)
+        # the best ones overlap themselves too much: the others get their turn
+        pays &= times == 0
+    return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty((0, 2), dtype=np.int64)
+
+
+def re_pair(ids: np.ndarray, base: int, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rules, lengths, symbols): symbol ``base + k`` is the pair ``rules[k]`` of ``lengths[k]`` ids.
+
+    Rounds go on until no pair pays for its rule.
+    """
+    symbols, rules = ids.astype(np.int64), [np.empty((0, 2), dtype=np.int64)]
+    width = np.ones(base, dtype=np.int64)
+    closing = np.arange(base) == end_id
+    while len(symbols) > 1:
+        places, numbers, pairs = _round(symbols, closing)
+        if not len(places):
             break
-        size = base + len(rules) + len(chosen)
-        partner, name = np.full(size, -1), np.zeros(size, dtype=np.int64)
-        for k, (a, b) in enumerate(chosen):
-            partner[a], name[a] = b, base + len(rules) + k
-        rules += chosen
-        for a, b in chosen:
-            lengths.append(sum(1 if x < base else lengths[x - base] for x in (a, b)))
-        starts = np.flatnonzero(partner[symbols[:-1]] == symbols[1:])
-        symbols[starts] = name[symbols[starts]]
-        keep = np.ones(len(symbols), dtype=bool)
-        keep[starts + 1] = False
-        symbols = symbols[keep]
-    return np.array(rules, dtype=np.int64).reshape(-1, 2), np.array(lengths, dtype=np.int64), symbols
+        symbols[places] = len(width) + numbers
+        symbols = np.delete(symbols, places + 1)
+        rules.append(pairs)
+        width = np.concatenate([width, width[pairs].sum(axis=1)])
+        closing = np.concatenate([closing, closing[pairs[:, 1]]])
+    return np.concatenate(rules), width[base:], symbols
+
+
+def _gathered(table: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``table`` that begin at ``first``, one after the other."""
+    ends = np.cumsum(size)
+    return table[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    whole: list[np.ndarray] = []
-    part = lambda x: np.array([x]) if x < base else whole[x - base]
-    for a, b in rules.tolist():
-        whole.append(np.concatenate([part(a), part(b)]))
-    spelled = np.concatenate([np.arange(base), *whole]) if whole else np.arange(base)
+    """The ids that symbols stand for.
+
+    Rules are spelled out by generations: those that name no rule of their own generation.
+    """
     size = np.concatenate([np.ones(base, dtype=np.int64), lengths])
     first = np.concatenate([[0], np.cumsum(size)[:-1]])
-    n = size[symbols]
-    ends = np.cumsum(n)
-    return spelled[np.repeat(first[symbols] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+    spelled = np.empty(int(size.sum()), dtype=np.int64)
+    spelled[:base] = np.arange(base)
+    newest, start = rules.max(axis=1, initial=-1) - base, 0
+    while start < len(rules):
+        later = newest[start:] >= start
+        end = start + int(later.argmax()) if later.any() else len(rules)
+        parts = rules[start:end].ravel()
+        found = _gathered(spelled, first[parts], size[parts])
+        spelled[first[base + start] : first[base + start] + len(found)] = found
+        start = end
+    return _gathered(spelled, first[symbols], size[symbols])
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -298,11 +357,11 @@ def _block_schema(key: T.DataType) -> T.StructType:
     )
 
 
-def compressed_block(texts_ids: list[np.ndarray], base: int) -> dict:
+def compressed_block(texts_ids: list[np.ndarray], base: int, end_id: int = END_ID) -> dict:
     """The parts of a block that hold the ids of its documents."""
     ids = np.concatenate(texts_ids)
     sizes = np.array([len(x) for x in texts_ids], dtype=np.int64)
-    rules, lengths, symbols = re_pair(ids, base)
+    rules, lengths, symbols = re_pair(ids, base, end_id)
     width = np.concatenate([np.ones(base, dtype=np.int64), lengths])[symbols]
     before = np.concatenate([[0], np.cumsum(width)])
     starts = np.searchsorted(before, np.cumsum(sizes) - sizes)
@@ -338,7 +397,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
 
         def flush() -> pa.RecordBatch:
             nonlocal block, first, ids, keys
-            row = {"shard": shard, "block": block, "first": first} | compressed_block(ids, base)
+            row = {"shard": shard, "block": block, "first": first} | compressed_block(ids, base, end_id)
             block, first = block + 1, first + row["n_ids"]
             columns = {k: pa.array([v], arrow.get(k, pa.binary())) for k, v in row.items()}
             columns["doc_ids"] = pa.array([keys], pa.list_(key_type))
@@ -348,8 +407,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
         held = 0
         for batch in batches:
             key_type = batch.column("doc_id").type
-            for k in range(0, batch.num_rows, TEXTS):
-                some = batch.slice(k, TEXTS)
+            for a, b in text_slices(batch.column("text"), SLICE_BYTES):
+                some = batch.slice(a, b - a)
                 names, texts = some.column("doc_id").to_pylist(), some.column("text").to_pylist()
                 for key, found in zip(names, words.encode(texts)):
                     ids.append(np.append(found, end))
@@ -363,10 +422,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        docs.select("doc_id", "text")
-        .repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .mapInArrow(write, schema)
+        # rows of one id, and equal rows, are told apart, so that ranges can cut among them
+        docs.select("doc_id", "text", F.xxhash64("text").alias("order"), F.monotonically_increasing_id().alias("seq"))
+        .repartitionByRange(parts, "doc_id", "order", "seq")
+        .sortWithinPartitions("doc_id", "order", "seq")
+        .mapInArrow(lean(write), schema)
         .write.parquet(folder)
     )
 
@@ -404,7 +464,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         .select("shard", (F.sum("n").over(before) - F.col("n")).alias("before"))
     )
     decoded = blocks.mapInArrow(
-        read, f"shard int, doc_id {key}, start bigint, n_tokens bigint, ids_crc32 bigint"
+        lean(read), f"shard int, doc_id {key}, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
     return decoded.join(F.broadcast(shards), "shard").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"

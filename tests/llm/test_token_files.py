@@ -49,3 +49,44 @@ def test_grammar_round_trip_and_random_access():
     assert len(rules) and len(symbols) < len(whole)
     for k, text in enumerate(texts):
         assert (tf.decode_one(block, k) == text).all()
+
+
+def spelled_out(ids, base=60_000):
+    rules, lengths, symbols = tf.re_pair(ids, base)
+    assert (tf.expand(symbols, rules, lengths, base) == ids).all()
+    return rules, lengths, symbols
+
+
+def test_pairs_are_replaced_until_none_pays():
+    run = np.full(200_000, 7)
+    rules, lengths, symbols = spelled_out(run)
+    assert len(symbols) < 20 and len(rules) < 20 and lengths.max() >= 32_768
+    draw = np.random.default_rng(4)
+    passage = draw.integers(3, 50_000, 60)
+    copies = np.concatenate([np.append(passage, draw.integers(3, 50_000, 2)) for _ in range(3000)])
+    rules, lengths, symbols = spelled_out(copies)
+    assert 60 in lengths.tolist() and len(symbols) < 3.3 * 3000
+    mixed = draw.integers(3, 12, 30_000)
+    rules, _, symbols = spelled_out(mixed)
+    left = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)[1]
+    assert (left >= 2 * tf.LEAST_COUNT).sum() == 0
+    assert len(spelled_out(np.array([5]))[2]) == 1 and len(spelled_out(np.array([], dtype=np.int64))[2]) == 0
+
+
+def test_no_symbol_spans_two_documents():
+    texts = [np.array([5, 6, 2])] * 500
+    block = tf.compressed_block(texts, 100)
+    starts = tf._unpacked(block["starts"])
+    assert len(np.unique(starts)) == 500 and len(tf._unpacked(block["symbols"])) == 500
+    assert all((tf.decode_one(block, k) == texts[k]).all() for k in (0, 250, 499))
+
+
+def test_words_that_share_a_hash_get_their_own_ids(monkeypatch):
+    with open(PATH, encoding="utf-8") as file:
+        words = tf.WordCache(file.read())
+    library = Tokenizer.from_file(PATH)
+    right = lambda t: library.encode(t, add_special_tokens=False).ids
+    whole = tf.WordCache._hashes
+    monkeypatch.setattr(tf.WordCache, "_hashes", lambda self, *a: whole(self, *a) % np.uint64(5) + np.uint64(1))
+    for texts in (["alpha"], ["alpha beta"], ["gamma delta epsilon zeta eta theta"], ["alpha", "iota kappa"], ["omega"]):
+        assert [x.tolist() for x in words.encode(texts)] == [right(t) for t in texts]
