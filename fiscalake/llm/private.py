@@ -1,9 +1,11 @@
 """Personal data by weak supervision.
 
-Four kinds are found by fixed patterns and always stay. Further candidates (secrets,
-national ids, phones without a country code, spelled-out addresses) are voted on by simple
-labelers: strict shapes, lists of words before the candidate, the character before it,
-placeholder values, variety of characters. Expectation-maximisation over the counts of vote
+Four kinds are found by fixed patterns and always stay. Further candidates are secrets,
+national ids, phones without a country code and spelled-out addresses, found by their shape,
+and persons, postal addresses and account numbers, found through a gazetteer: a listed given
+name before a capitalised one, a house number and a listed kind of street, a listed country
+code. Simple labelers vote on each: strict shapes, the gazetteer, lists of words before the
+candidate, the character before it, placeholder values, variety of characters. Expectation-maximisation over the counts of vote
 patterns estimates how reliable each labeler is and how likely each pattern is a hit; these
 probabilities train a naive-Bayes classifier on features of the span, whose verdict adds
 the span.
@@ -20,6 +22,7 @@ gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +31,10 @@ from pyspark.sql import functions as F
 from fiscalake.llm.common import bind, table
 
 #: Kinds of the contract in its order, then those that the method adds.
-KINDS = ("email", "ip", "card", "phone", "secret", "national_id", "local_phone", "spelled_email")
+KINDS = (
+    "email", "ip", "card", "phone",
+    "secret", "national_id", "local_phone", "spelled_email", "person", "address", "account",
+)
 N_BASE = 4
 
 # A run of the first class is entered at its start or after the last match only, and loops
@@ -41,6 +47,26 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
+#: Fixed values of the gazetteer: given names, kinds of street, country codes of account numbers.
+GIVEN_NAMES = (
+    "Alice", "Ana", "Anna", "Antonio", "Carlos", "Carmen", "Charles", "Christine", "Claire", "Daniel", "David",
+    "Elena", "Elizabeth", "Emma", "Franz", "George", "Hans", "Heinrich", "Isabelle", "James", "Javier", "Jean",
+    "Jennifer", "John", "Jorge", "Juan", "Julia", "Karl", "Laura", "Linda", "Luis", "Manuel", "Maria", "Marie",
+    "Martin", "Mary", "Michael", "Michel", "Monika", "Nathalie", "Nicolas", "Patricia", "Paul", "Peter", "Pierre",
+    "Robert", "Sabine", "Sarah", "Sophie", "Stefan", "Susan", "Thomas", "Ursula", "William", "Wolfgang",
+)
+STREETS = ("Street", "St.", "Avenue", "Ave.", "Road", "Rd.", "Lane", "Drive", "Boulevard", "Square", "Court", "Place")
+COUNTRIES = ("AT", "BE", "CH", "DE", "DK", "ES", "FI", "FR", "GB", "IE", "IT", "LU", "NL", "NO", "PL", "PT", "SE")
+
+
+def _any_of(words: tuple[str, ...]) -> str:
+    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
+
+
+_PERSON = rf"{_any_of(GIVEN_NAMES)}(?:\x20[A-Z]\.)?\x20[A-Z][a-z]++(?:-[A-Z][a-z]++)*+"
+_ADDRESS = rf"[0-9]{{1,5}}\x20[A-Z][a-z]++(?:\x20[A-Z][a-z]++)?\x20{_any_of(STREETS)}"
+_ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?"
+
 #: One pattern for all candidates; which kind one is, is read from it afterwards. Runs are open
 #: and possessive: a value is found to its end, however long it is.
 CANDIDATE = (
@@ -52,13 +78,16 @@ CANDIDATE = (
     r"|(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])"
     r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++"
     r"(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]++)++"
+    rf"|(?<![A-Za-z]){_PERSON}(?![A-Za-z])"
+    rf"|(?<![A-Za-z0-9]){_ADDRESS}(?![A-Za-z])"
+    rf"|(?<![A-Za-z0-9]){_ACCOUNT}(?![A-Za-z0-9])"
 )
 #: Words that announce personal data, and values that stand for none.
-ANNOUNCED = r"(?i)(?:password|passwd|pwd|token|secret|key|login|ssn|social|passport|phone|tel|call|fax|mobile|mail|contact|write|reach)[^A-Za-z]{0,12}$"
+ANNOUNCED = r"(?i)(?:password|passwd|pwd|token|secret|key|login|ssn|social|passport|phone|tel|call|fax|mobile|mail|contact|write|reach|name|signed|address|iban|account)[^A-Za-z]{0,12}$"
 PLACEHOLDER = r"(?i)(?:x{4}|0{5}|12345678|changeme|placeholder|yourpass|000-00|999-99|name\x20?[\[(]at)"
 CONTEXT = 40
 
-LABELERS = ("shape", "announced", "glued", "placeholder", "variety")
+LABELERS = ("shape", "gazetteer", "announced", "glued", "placeholder", "variety")
 FEATURES = ("digits", "upper", "lower", "assigned", "long", "varied")
 ROUNDS = 50
 
@@ -159,6 +188,9 @@ def _kind_of(m: Column) -> Column:
         F.when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "national_id")
         .when(m.rlike(r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}$"), "local_phone")
         .when(m.rlike(r"[\[(]at[\])]"), "spelled_email")
+        .when(m.rlike(rf"^{_PERSON}$"), "person")
+        .when(m.rlike(rf"^{_ADDRESS}$"), "address")
+        .when(m.rlike(rf"^{_ACCOUNT}$"), "account")
     )
     return kind.otherwise("secret")
 
@@ -170,11 +202,19 @@ def _votes(kind: Column, m: Column, before: Column) -> list[Column]:
         ((kind == "secret") & m.rlike(r"^AKIA|[=:]|^[0-9a-f]{32}$|^[0-9a-f]{40}$|^[0-9a-f]{64}$"))
         | ((kind == "national_id") & ~m.rlike(r"^(?:000|666|9)|-00-|-0000$"))
         | ((kind == "local_phone") & m.rlike(r"^\(?[2-9]"))
-        | (kind == "spelled_email")
+        | kind.isin("spelled_email", "person", "address")
+        | ((kind == "account") & (F.length(_digits(m)) >= 10))
+    )
+    listed = (
+        m.rlike(rf"^{_any_of(GIVEN_NAMES)}\x20")
+        | m.rlike(rf"\x20{_any_of(STREETS)}$")
+        | m.rlike(rf"^{_any_of(COUNTRIES)}[0-9]{{2}}")
     )
+    by_list = kind.isin("person", "address", "account")
     kinds = F.size(F.array_distinct(F.split(m, "")))
     return [
         vote(strict, ~strict),
+        vote(by_list & listed, by_list & ~listed),
         vote(before.rlike(ANNOUNCED) | m.rlike(r"^[A-Za-z_-]+\x20*[=:]"), F.lit(False)),
         vote(F.lit(False), before.rlike(r"[A-Za-z0-9]$")),
         vote(F.lit(False), m.rlike(PLACEHOLDER)),
@@ -206,7 +246,7 @@ def _coded(kind_of: Column, m: Column, before: Column) -> tuple[Column, Column]:
 
 def candidates(text: Column, base: Column) -> Column:
     """Candidates (s, kind, e, votes, features) that overlap no span in ``base``."""
-    worth = text.rlike(r"[0-9]{3}|[\[(]at[\])]|[=:]|[A-Z]{4}")
+    worth = text.rlike(rf"[0-9]{{3}}|[\[(]at[\])]|[=:]|[A-Z]{{4}}|[0-9]\x20[A-Z]|{_any_of(GIVEN_NAMES)}\x20[A-Z]")
     every = _matches(text, CANDIDATE, F.lit(-1), worth)
     alone = F.filter(
         every, lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))

@@ -64,10 +64,10 @@ def test_votes_tell_reliable_labelers_apart():
     counts = {}
     for hit in (0, 2):
         for noise in (0, 2):
-            counts[hit + 3 * hit + 9 * 1 + 27 * 1 + 81 * noise] = 500
+            counts[hit + 3 * hit + 9 * 1 + 27 * 1 + 81 * 1 + 243 * noise] = 500
     chance, reliability = private.fit_votes(counts)
-    assert chance[2 + 6 + 9 + 27 + 162] > 0.9 and chance[0 + 0 + 9 + 27 + 0] < 0.1
-    assert reliability[0][0] > 0.9 and reliability[4][0] < 0.7
+    assert chance[2 + 6 + 9 + 27 + 81 + 486] > 0.9 and chance[0 + 0 + 9 + 27 + 81 + 0] < 0.1
+    assert reliability[0][0] > 0.9 and reliability[5][0] < 0.7
 
 
 def test_redaction_keeps_rows_and_columns(frame):
@@ -101,3 +101,28 @@ def test_long_candidates_are_found_to_their_end(frame):
         kind = "spelled_email" if "[at]" in v else "secret"
         assert f"{kind}:6:{6 + len(v)}" in found[k].split(","), (k, found[k])
         assert clean[k] == f"login [{kind.upper()}], end"
+
+
+def test_the_gazetteer_finds_what_has_no_shape_of_its_own(frame):
+    personal = "signed John Smith, 12 Elm Street, iban DE89 3704 0044 0532 0130 00, with Marie Dupont-Leroy"
+    clean = "The Elm Street was long, 12 Elms stood there. Johnson met nobody; Xavi Smith and DE12 too. Peter and Paul"
+    rows = [(k, personal) for k in range(30)] + [(100, clean), (101, f"{clean} {'word ' * 5000}John Smith")]
+    docs = frame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in private.find_private(docs).collect()}
+    got = [(k, personal[int(a) : int(b)]) for k, a, b in (s.split(":") for s in found[0].split(","))]
+    assert got == [
+        ("person", "John Smith"), ("address", "12 Elm Street"), ("account", "DE89 3704 0044 0532 0130 00"),
+        ("person", "Marie Dupont-Leroy"),
+    ]
+    assert found[100] == ""
+    start = len(clean) + 1 + 25_000
+    assert found[101] == f"person:{start}:{start + 10}"
+
+
+def test_clashing_columns_are_kept(frame):
+    docs = frame([(1, "mail me@x.com")], "doc_id bigint, text string").selectExpr(
+        "*", "1 as base", "2 as extra", "3 as __text", "4 as __base", "5 as `a.b`"
+    )
+    (row,) = private.redact(docs).collect()
+    assert row.text == "mail [EMAIL]" and [row[c] for c in ("base", "extra", "__text", "__base", "a.b")] == [1, 2, 3, 4, 5]
+    assert private.find_private(docs).first().n_email == 1
