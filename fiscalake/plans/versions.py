@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from fiscalake.plans.lake import partitioning
 from fiscalake.plans.publish import PublishError
+from fiscalake.sources.folders import delete_folders
 
 WHOLE = "all"
 _SCHEMA = "version string, table string, part string, folder string, rows bigint, high decimal(38,0), low decimal(38,0), schema string"
@@ -116,8 +117,5 @@ def retain(spark: SparkSession, root: str, last: int) -> list[str]:
     # first no longer named, then deleted: a reader finds a version whole or not at all
     rows = [(version, None, None, None, None, None, None, None) for version in gone]
     spark.createDataFrame(rows, _SCHEMA).coalesce(1).write.mode("append").json(_list_path(root))
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in unused:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    delete_folders(spark, unused)
     return unused
