@@ -77,12 +77,28 @@ def _known(field: int, otherwise: Column) -> Column:
     return case.otherwise(otherwise)
 
 
-def dim_municipality(expenses: DataFrame, revenues: DataFrame) -> DataFrame:
-    return distinct_of_both(expenses, revenues, "municipio").select(
-        hash_key(F.col("municipio")).alias("municipio_sk"),
-        "municipio",
-        _known(0, F.col("municipio")).alias("nm_municipio"),
-        _known(1, F.lit(None).cast("string")).alias("uf"),
+def dim_municipality(
+    expenses: DataFrame, revenues: DataFrame, names: DataFrame | None = None
+) -> DataFrame:
+    """Municipalities with display name and state; those unknown keep their own text.
+
+    ``names`` (municipio, nm_municipio, uf) is a table of any number of municipalities, one row
+    each; its size decides how Spark joins it. Without it the fixed values above are used.
+    """
+    found = distinct_of_both(expenses, revenues, "municipio")
+    if names is None:
+        named = found.withColumns(
+            {
+                "nm_municipio": _known(0, F.col("municipio")),
+                "uf": _known(1, F.lit(None).cast("string")),
+            }
+        )
+    else:
+        named = found.join(names.select("municipio", "nm_municipio", "uf"), "municipio", "left").withColumn(
+            "nm_municipio", F.coalesce("nm_municipio", "municipio")
+        )
+    return named.select(
+        hash_key(F.col("municipio")).alias("municipio_sk"), "municipio", "nm_municipio", "uf"
     )
 
 

@@ -202,6 +202,23 @@ def dim_municipality(spark, sf):
     return D.dim_municipality(S.expenses(spark, sf), S.revenues(spark, sf))
 
 
+@_query(
+    sql(
+        """select municipio_sk, municipio, coalesce(n_name, municipio) as nm_municipio, substr(n_name, 1, 2) as uf
+        from d_mun left join nation on 'm' || n_nationkey = municipio and n_nationkey <> 1""",
+        "d_mun",
+    )
+)
+def dim_municipality_from_names(spark, sf):
+    """Display names from a table; one municipality is missing in it."""
+    names = S.table(spark, sf, "nation").where("n_nationkey <> 1").select(
+        F.concat(F.lit("m"), "n_nationkey").alias("municipio"),
+        F.col("n_name").alias("nm_municipio"),
+        F.substring("n_name", 1, 2).alias("uf"),
+    )
+    return D.dim_municipality(S.expenses(spark, sf), S.revenues(spark, sf), names)
+
+
 @_query(rows("d_org"))
 def dim_org(spark, sf):
     return D.dim_organisation(S.expenses(spark, sf), S.revenues(spark, sf))
