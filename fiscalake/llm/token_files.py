@@ -42,7 +42,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 20
 #: Least times that a pair is replaced.
 LEAST_COUNT = 4
-NEVER = np.iinfo(np.int64).max
+NEVER = np.iinfo(np.int32).max
 #: Counters that find the frequent pairs before they are counted exactly.
 COUNTERS_LOG2 = 20
 #: Words and bytes of words a worker remembers, and bytes of texts it encodes together.
@@ -161,29 +161,25 @@ class WordCache:
             order.append(chosen)
         return np.concatenate(ids), np.concatenate(sizes), np.concatenate(order)
 
-    def _hashes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        lengths = ends - starts
-        first = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        powers = np.cumprod(np.full(int(lengths.max()), self.base))
-        mixed = np.add.reduceat(self.codes[raw[raw != 32]] * powers[place], first)
+    def _hashes(self, letters: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """A hash of each word, from its letters and their places in it."""
+        powers = np.cumprod(np.full(int(place.max()) + 1, self.base))
+        mixed = np.add.reduceat(self.codes[letters] * powers[place], first)
         mixed ^= mixed >> np.uint64(32)
         return np.maximum(mixed * np.uint64(0x9E3779B97F4A7C15), np.uint64(1))
 
-    def _verified(self, raw, starts, lengths, at, word, number) -> bool:
+    def _verified(self, letters, place, first, lengths, at, word, number) -> bool:
         """Whether all words of one hash are the same bytes, here and in memory."""
-        first = at[word]
-        if (lengths != lengths[first]).any():
+        example = at[word]
+        if (lengths != lengths[example]).any():
             return False
-        other = np.flatnonzero(first != np.arange(len(word)))
-        mine = _gathered(raw, starts[other], lengths[other])
-        if (mine != _gathered(raw, starts[first[other]], lengths[other])).any():
+        if (letters != letters[np.repeat(first[example].astype(place.dtype), lengths) + place]).any():
             return False
         held = np.flatnonzero(number >= 0)
         begins, sizes = self.begins[number[held]], lengths[at[held]]
         if (self.begins[number[held] + 1] - begins != sizes).any():
             return False
-        return bool((_gathered(raw, starts[at[held]], sizes) == _gathered(self.spelled, begins, sizes)).all())
+        return bool((_gathered(letters, first[at[held]], sizes) == _gathered(self.spelled, begins, sizes)).all())
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = []
@@ -197,10 +193,13 @@ class WordCache:
         starts, ends = edge[::2], edge[1::2]
         if not len(starts):
             return [np.empty(0, dtype="<u4") for _ in texts]
-        seen, at, word = np.unique(self._hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        letters, lengths = raw[raw != 32], ends - starts
+        first = np.cumsum(lengths) - lengths
+        kind = np.int32 if len(letters) < 1 << 31 else np.int64
+        place = np.arange(len(letters), dtype=kind) - np.repeat(first.astype(kind), lengths)
+        seen, at, word = np.unique(self._hashes(letters, place, first), return_index=True, return_inverse=True)
         number = self.table.get(seen)
-        lengths = ends - starts
-        if not self._verified(raw, starts, lengths, at, word, number):
+        if not self._verified(letters, place, first, lengths, at, word, number):
             found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
             return [np.array(f.ids, dtype="<u4") for f in found]
         missing = np.flatnonzero(number < 0)
@@ -211,7 +210,7 @@ class WordCache:
             number[missing[order]] = len(sizes) + np.arange(len(order))
             ids, sizes = np.concatenate([ids, found]), np.concatenate([sizes, n])
             own = at[missing[order]]
-            spelled = _gathered(raw, starts[own], lengths[own])
+            spelled = _gathered(letters, first[own], lengths[own])
             if len(sizes) <= MEMORY and len(self.spelled) + len(spelled) <= MEMORY_BYTES:
                 self.table.add(seen[missing], number[missing])
                 self.ids, self.sizes = ids, sizes
@@ -239,12 +238,41 @@ def _apart(rank: np.ndarray) -> np.ndarray:
     place is taken if no neighbour is better. Of a run of equal pairs, which only one repeated
     symbol makes, every second place is taken.
     """
-    at = np.arange(len(rank))
-    before = np.concatenate([[NEVER], rank[:-1]])
-    after = np.concatenate([rank[1:], [NEVER]])
-    first = rank != before
-    offset = at - np.maximum.accumulate(np.where(first, at, 0))
-    return (rank < NEVER) & (offset % 2 == 0) & (~first | (rank < before)) & (rank <= after)
+    beside = np.full(len(rank) + 2, NEVER, dtype=rank.dtype)
+    beside[1:-1] = rank
+    before, after = beside[:-2], beside[2:]
+    taken = (rank < before) & (rank <= after)
+    again = np.flatnonzero((rank == before) & (rank < NEVER))
+    if len(again):
+        first = np.concatenate([[True], np.diff(again) != 1])
+        offset = np.arange(len(again)) - np.maximum.accumulate(np.where(first, np.arange(len(again)), 0)) + 1
+        even = again[offset % 2 == 0]
+        taken[even] = rank[even] <= after[even]
+    return taken
+
+
+def _numbered_pairs(pair: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, number of each place in ``at``, -1 if rare, counts) of the pairs that occur LEAST_COUNT times."""
+    own, place = pair[at], slot[at]
+    ordered = np.sort(own)
+    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    n = np.diff(np.concatenate([edge, [len(ordered)]]))
+    often = n >= LEAST_COUNT
+    exact, n = ordered[edge[often]], n[often]
+    if not len(exact):
+        return exact, np.full(len(at), -1, dtype=np.int32), n
+    # by its counter where that belongs to it, else by search
+    held = np.full(1 << COUNTERS_LOG2, -1, dtype=np.int32)
+    held[_slots(exact)] = np.arange(len(exact), dtype=np.int32)
+    number = held[place]
+    wrong = np.flatnonzero((number < 0) | (exact[number] != own))
+    found = np.minimum(np.searchsorted(exact, own[wrong]), len(exact) - 1)
+    number[wrong] = np.where(exact[found] == own[wrong], found, -1)
+    return exact, number, n
+
+
+def _slots(pair: np.ndarray) -> np.ndarray:
+    return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).view(np.int64)
 
 
 def _round(symbols: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,19 +281,20 @@ def _round(symbols: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.nda
     A pair pays if it is replaced LEAST_COUNT times: a rule takes the space of three symbols.
     """
     pair = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
-    slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)
+    slot = _slots(pair)
     # a pair is at most as frequent as its counter
-    often = np.bincount(slot, minlength=1 << COUNTERS_LOG2)[slot] >= LEAST_COUNT
+    often = (np.bincount(slot, minlength=1 << COUNTERS_LOG2) >= LEAST_COUNT)[slot]
     # what closes a document begins no pair: no symbol spans two
     at = np.flatnonzero(often & ~closing[symbols[:-1]])
-    exact, which, n = np.unique(pair[at], return_inverse=True, return_counts=True)
-    pays = n >= LEAST_COUNT
-    order = np.empty(len(exact), dtype=np.int64)
-    order[np.argsort(-n, kind="stable")] = np.arange(len(exact))
-    number = np.full(len(pair), -1, dtype=np.int64)
+    exact, which, n = _numbered_pairs(pair, slot, at)
+    at, which = at[which >= 0], which[which >= 0]
+    order = np.empty(len(exact), dtype=np.int32)
+    order[np.argsort(-n, kind="stable")] = np.arange(len(exact), dtype=np.int32)
+    number = np.full(len(pair), -1, dtype=np.int32)
     number[at] = which
+    pays = np.ones(len(exact), dtype=bool)
     while pays.any():
-        rank = np.full(len(pair), NEVER, dtype=np.int64)
+        rank = np.full(len(pair), NEVER, dtype=np.int32)
         rank[at] = np.where(pays[which], order[which], NEVER)
         places = np.flatnonzero(_apart(rank))
         times = np.bincount(number[places], minlength=len(exact))
@@ -295,7 +324,9 @@ def re_pair(ids: np.ndarray, base: int, end_id: int = END_ID) -> tuple[np.ndarra
         if not len(places):
             break
         symbols[places] = len(width) + numbers
-        symbols = np.delete(symbols, places + 1)
+        keep = np.ones(len(symbols), dtype=bool)
+        keep[places + 1] = False
+        symbols = symbols[keep]
         rules.append(pairs)
         width = np.concatenate([width, width[pairs].sum(axis=1)])
         closing = np.concatenate([closing, closing[pairs[:, 1]]])
