@@ -43,7 +43,7 @@ BLOCK_IDS = 1 << 20
 #: Least times that a pair is replaced.
 LEAST_COUNT = 4
 NEVER = np.iinfo(np.int32).max
-#: Counters that find the frequent pairs before they are counted exactly.
+#: Counters at most that find the frequent pairs before they are counted exactly.
 COUNTERS_LOG2 = 20
 #: Words and bytes of words a worker remembers, and bytes of texts it encodes together.
 MEMORY, MEMORY_BYTES, SLICE_BYTES = 1_500_000, 30_000_000, 2_000_000
@@ -251,7 +251,7 @@ def _apart(rank: np.ndarray) -> np.ndarray:
     return taken
 
 
-def _numbered_pairs(pair: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _numbered_pairs(pair: np.ndarray, slot: np.ndarray, bits: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, number of each place in ``at``, -1 if rare, counts) of the pairs that occur LEAST_COUNT times."""
     own, place = pair[at], slot[at]
     ordered = np.sort(own)
@@ -262,8 +262,8 @@ def _numbered_pairs(pair: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple
     if not len(exact):
         return exact, np.full(len(at), -1, dtype=np.int32), n
     # by its counter where that belongs to it, else by search
-    held = np.full(1 << COUNTERS_LOG2, -1, dtype=np.int32)
-    held[_slots(exact)] = np.arange(len(exact), dtype=np.int32)
+    held = np.full(1 << bits, -1, dtype=np.int32)
+    held[_slots(exact, bits)] = np.arange(len(exact), dtype=np.int32)
     number = held[place]
     wrong = np.flatnonzero((number < 0) | (exact[number] != own))
     found = np.minimum(np.searchsorted(exact, own[wrong]), len(exact) - 1)
@@ -271,8 +271,8 @@ def _numbered_pairs(pair: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple
     return exact, number, n
 
 
-def _slots(pair: np.ndarray) -> np.ndarray:
-    return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).view(np.int64)
+def _slots(pair: np.ndarray, bits: int) -> np.ndarray:
+    return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
 
 
 def _round(symbols: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,12 +281,13 @@ def _round(symbols: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.nda
     A pair pays if it is replaced LEAST_COUNT times: a rule takes the space of three symbols.
     """
     pair = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
-    slot = _slots(pair)
+    bits = min(COUNTERS_LOG2, max(10, len(pair).bit_length() - 1))
+    slot = _slots(pair, bits)
     # a pair is at most as frequent as its counter
-    often = (np.bincount(slot, minlength=1 << COUNTERS_LOG2) >= LEAST_COUNT)[slot]
+    often = (np.bincount(slot, minlength=1 << bits) >= LEAST_COUNT)[slot]
     # what closes a document begins no pair: no symbol spans two
     at = np.flatnonzero(often & ~closing[symbols[:-1]])
-    exact, which, n = _numbered_pairs(pair, slot, at)
+    exact, which, n = _numbered_pairs(pair, slot, bits, at)
     at, which = at[which >= 0], which[which >= 0]
     order = np.empty(len(exact), dtype=np.int32)
     order[np.argsort(-n, kind="stable")] = np.arange(len(exact), dtype=np.int32)
