@@ -63,7 +63,15 @@ def _any_of(words: tuple[str, ...]) -> str:
     return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 
 
-_PERSON = rf"{_any_of(GIVEN_NAMES)}(?:\x20[A-Z]\.)?\x20[A-Z][a-z]++(?:-[A-Z][a-z]++)*+"
+def _listed_by_initial(words: tuple[str, ...]) -> str:
+    """One of ``words``; by its first letter most places are passed at once."""
+    initials = sorted({w[0] for w in words})
+    rest = [f"{i}{_any_of(tuple(w[1:] for w in words if w[0] == i))}" for i in initials]
+    return f"(?=[{''.join(initials)}])(?:{'|'.join(rest)})"
+
+
+_NAME = _listed_by_initial(GIVEN_NAMES)
+_PERSON = rf"{_NAME}(?:\x20[A-Z]\.)?\x20[A-Z][a-z]++(?:-[A-Z][a-z]++)*+"
 _ADDRESS = rf"[0-9]{{1,5}}\x20[A-Z][a-z]++(?:\x20[A-Z][a-z]++)?\x20{_any_of(STREETS)}"
 _ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?"
 
@@ -206,7 +214,7 @@ def _votes(kind: Column, m: Column, before: Column) -> list[Column]:
         | ((kind == "account") & (F.length(_digits(m)) >= 10))
     )
     listed = (
-        m.rlike(rf"^{_any_of(GIVEN_NAMES)}\x20")
+        m.rlike(rf"^{_NAME}\x20")
         | m.rlike(rf"\x20{_any_of(STREETS)}$")
         | m.rlike(rf"^{_any_of(COUNTRIES)}[0-9]{{2}}")
     )
@@ -246,7 +254,7 @@ def _coded(kind_of: Column, m: Column, before: Column) -> tuple[Column, Column]:
 
 def candidates(text: Column, base: Column) -> Column:
     """Candidates (s, kind, e, votes, features) that overlap no span in ``base``."""
-    worth = text.rlike(rf"[0-9]{{3}}|[\[(]at[\])]|[=:]|[A-Z]{{4}}|[0-9]\x20[A-Z]|{_any_of(GIVEN_NAMES)}\x20[A-Z]")
+    worth = text.rlike(rf"[0-9]{{3}}|[\[(]at[\])]|[=:]|[A-Z]{{4}}|[0-9]\x20[A-Z]|{_NAME}\x20[A-Z]")
     every = _matches(text, CANDIDATE, F.lit(-1), worth)
     alone = F.filter(
         every, lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
