@@ -13,7 +13,7 @@ from fiscalake.operators import dimensions as D
 from fiscalake.operators.contracts import EXPENSE_CONTRACT, REVENUE_CONTRACT
 from fiscalake.operators.facts import fct_expense, fct_revenue
 from fiscalake.plans.silver import silver_expenses, silver_revenues
-from fiscalake.session import scratch_path
+from fiscalake.session import open_writers, scratch_path
 from fiscalake.sources.schemas import EXPENSES, REVENUES
 from fiscalake.sources.snapshots import read_latest
 
@@ -90,7 +90,8 @@ class Lake:
         """
         years = partitioning(table)
         dealt = df.hint("rebalance", *years) if table in SHUFFLED_TABLES else df
-        dealt.write.mode("overwrite").partitionBy(*years).parquet(self.path(table))
+        with open_writers(self.spark):
+            dealt.write.mode("overwrite").partitionBy(*years).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, table, self.path(table))
