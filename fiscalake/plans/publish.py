@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalake.plans.lake import GOLD_TABLES, Lake, partitioning, read_table
+from fiscalake.session import open_writers
 from fiscalake.sources.manifests import read_full_runs, read_ingestion_runs
 
 _POINTER_SCHEMA = "version string, table string, rows bigint"
@@ -38,7 +39,8 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dic
     counts: dict[str, int] = {}
     for name, source in tables.items():
         target = _version_path(root, version, name)
-        source.write.partitionBy(*partitioning(name)).parquet(target)
+        with open_writers(spark):
+            source.write.partitionBy(*partitioning(name)).parquet(target)
         expected, found = source.count(), spark.read.parquet(target).count()
         if expected != found:
             raise PublishError(f"{name}: {expected} rows in the source, {found} in the copy")

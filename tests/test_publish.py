@@ -4,8 +4,10 @@ from datetime import date
 import pytest
 from conftest import expense, revenue
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameWriter
 from test_runs import _full_run, run
 
+from fiscalake import session
 from fiscalake.operators import indicators
 from fiscalake.plans import lake, publish
 from fiscalake.sources import landing
@@ -102,3 +104,28 @@ def test_build_and_publish_end_to_end(spark, land_file, tmp_path):
     assert (by_org.nm_orgao, by_org.lancamentos) == ("CAMARA", 2)
     by_supplier = indicators.expense_by_supplier(exp, built.read("dim_fornecedor")).first()
     assert (by_supplier.nm_fornecedor_atual, str(by_supplier.valor)) == ("ALFA LTDA", "5001.50")
+
+
+def test_tables_kept_by_year_are_written_without_sorting(spark, tmp_path, monkeypatch):
+    """A sort would hold all rows of a task; the session's setting is put back."""
+    setting, used = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(setting, None)
+    parquet = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        used.append((path, int(spark.conf.get(setting, "0"))))
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    # more years than a task keeps files of
+    years = session.OPEN_WRITERS + 10
+    columns = [f"cast(null as {c.split(' ', 1)[1]}) as {c.split()[0]}" for c in lake.PARTITIONED_SCHEMAS["fct_despesas"].split(", ")]
+    columns = [c for c in columns if not c.endswith(" as exercicio")]
+    rows = spark.range(0, 3 * years, 1, 1).selectExpr(*columns, f"cast(id % {years} as int) as exercicio")
+    built = lake.Lake(spark, str(tmp_path / "lake"))
+    built.write("fct_despesas", rows)
+    publish.publish(spark, {"fct_despesas": built.read("fct_despesas")}, str(tmp_path / "serving"))
+    assert len(used) == 2 and all(n > 0 for _, n in used)
+    found = publish.read_published(spark, str(tmp_path / "serving"), "fct_despesas").groupBy("exercicio").count()
+    assert [tuple(r) for r in found.orderBy("exercicio").collect()] == [(y, 3) for y in range(years)]
+    assert spark.conf.get(setting, None) == before
