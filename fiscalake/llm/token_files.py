@@ -251,16 +251,15 @@ def _apart(rank: np.ndarray) -> np.ndarray:
     return taken
 
 
-def _numbered_pairs(pair: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, number of each place in ``at``, -1 if rare, counts) of the pairs that occur LEAST_COUNT times."""
-    own, place = pair[at], slot[at]
+def _numbered_pairs(own: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, number of each of ``own``, -1 if rare, counts) of the pairs that occur LEAST_COUNT times."""
     ordered = np.sort(own)
     edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     n = np.diff(np.concatenate([edge, [len(ordered)]]))
     often = n >= LEAST_COUNT
     exact, n = ordered[edge[often]], n[often]
     if not len(exact):
-        return exact, np.full(len(at), -1, dtype=np.int32), n
+        return exact, np.full(len(own), -1, dtype=np.int32), n
     # by its counter where that belongs to it, else by search
     held = np.full(1 << COUNTERS_LOG2, -1, dtype=np.int32)
     held[_slots(exact)] = np.arange(len(exact), dtype=np.int32)
@@ -275,58 +274,65 @@ def _slots(pair: np.ndarray) -> np.ndarray:
     return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).view(np.int64)
 
 
-def _round(symbols: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, numbers, pairs): where which pair is replaced now; none if no pair pays.
+def _round(symbols: np.ndarray, closing: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(places, numbers, pairs, frequent places): where which pair is replaced now; none if no pair pays.
 
     A pair pays if it is replaced LEAST_COUNT times: a rule takes the space of three symbols.
+    Only the places ``at`` are looked at.
     """
-    pair = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
+    # what closes a document begins no pair: no symbol spans two
+    at = at[~closing[symbols[at]]]
+    pair = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1].astype(np.uint64)
     slot = _slots(pair)
     # a pair is at most as frequent as its counter
-    often = (np.bincount(slot, minlength=1 << COUNTERS_LOG2) >= LEAST_COUNT)[slot]
-    # what closes a document begins no pair: no symbol spans two
-    at = np.flatnonzero(often & ~closing[symbols[:-1]])
-    exact, which, n = _numbered_pairs(pair, slot, at)
+    often = np.flatnonzero((np.bincount(slot, minlength=1 << COUNTERS_LOG2) >= LEAST_COUNT)[slot])
+    at = at[often]
+    exact, which, n = _numbered_pairs(pair[often], slot[often])
     at, which = at[which >= 0], which[which >= 0]
     order = np.empty(len(exact), dtype=np.int32)
     order[np.argsort(-n, kind="stable")] = np.arange(len(exact), dtype=np.int32)
-    number = np.full(len(pair), -1, dtype=np.int32)
-    number[at] = which
     pays = np.ones(len(exact), dtype=bool)
     while pays.any():
-        rank = np.full(len(pair), NEVER, dtype=np.int32)
-        rank[at] = np.where(pays[which], order[which], NEVER)
-        places = np.flatnonzero(_apart(rank))
-        times = np.bincount(number[places], minlength=len(exact))
+        rank = np.full(len(symbols) - 1, NEVER, dtype=np.int32)
+        rank[at] = np.where(pays, order, NEVER)[which]
+        taken = _apart(rank)[at]
+        places, numbers = at[taken], which[taken]
+        times = np.bincount(numbers, minlength=len(exact))
         enough = times >= LEAST_COUNT
         if enough.any():
-            places = places[enough[number[places]]]
+            taken = enough[numbers]
+            places, numbers = places[taken], numbers[taken]
             kept = np.flatnonzero(enough)
             renamed = np.full(len(exact), -1, dtype=np.int64)
             renamed[kept] = np.arange(len(kept))
             pairs = np.stack([exact[kept] >> np.uint64(32), exact[kept] & np.uint64(0xFFFFFFFF)], axis=1)
-            return places, renamed[number[places]], pairs.astype(np.int64)
+            return places, renamed[numbers], pairs.astype(np.int64), at
         # the best ones overlap themselves too much: the others get their turn
         pays &= times == 0
-    return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty((0, 2), dtype=np.int64)
+    return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty((0, 2), dtype=np.int64), at
 
 
 def re_pair(ids: np.ndarray, base: int, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, lengths, symbols): symbol ``base + k`` is the pair ``rules[k]`` of ``lengths[k]`` ids.
 
-    Rounds go on until no pair pays for its rule.
+    Rounds go on until no pair pays for its rule. A pair never gets more frequent once both its
+    symbols are there, so places of rare pairs are passed over until a symbol beside them is new.
     """
     symbols, rules = ids.astype(np.int64), [np.empty((0, 2), dtype=np.int64)]
     width = np.ones(base, dtype=np.int64)
     closing = np.arange(base) == end_id
+    at = np.arange(len(symbols) - 1)
     while len(symbols) > 1:
-        places, numbers, pairs = _round(symbols, closing)
+        places, numbers, pairs, frequent = _round(symbols, closing, at)
         if not len(places):
             break
         symbols[places] = len(width) + numbers
+        looked_at = np.zeros(len(symbols), dtype=bool)
+        looked_at[frequent] = looked_at[places] = looked_at[places[places > 0] - 1] = True
         keep = np.ones(len(symbols), dtype=bool)
         keep[places + 1] = False
         symbols = symbols[keep]
+        at = np.flatnonzero(looked_at[keep][:-1])
         rules.append(pairs)
         width = np.concatenate([width, width[pairs].sum(axis=1)])
         closing = np.concatenate([closing, closing[pairs[:, 1]]])

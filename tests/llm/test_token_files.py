@@ -90,3 +90,22 @@ def test_words_that_share_a_hash_get_their_own_ids(monkeypatch):
     monkeypatch.setattr(tf.WordCache, "_hashes", lambda self, *a: whole(self, *a) % np.uint64(5) + np.uint64(1))
     for texts in (["alpha"], ["alpha beta"], ["gamma delta epsilon zeta eta theta"], ["alpha", "iota kappa"], ["omega"]):
         assert [x.tolist() for x in words.encode(texts)] == [right(t) for t in texts]
+
+
+def test_rounds_pass_over_places_of_rare_pairs(monkeypatch):
+    draw = np.random.default_rng(5)
+    words = [draw.integers(3, 900, draw.integers(2, 9)) for _ in range(300)]
+    ids = np.concatenate([words[k] for k in draw.integers(0, 300, 4000)] + [draw.integers(3, 900, 5000)]).astype("<u4")
+    looked_at, one_round = [], tf._round
+
+    def noted(symbols, closing, at):
+        looked_at.append((len(at), len(symbols) - 1))
+        everywhere = one_round(symbols, closing, np.arange(len(symbols) - 1))
+        found = one_round(symbols, closing, at)
+        assert all(np.array_equal(a, b) for a, b in zip(found, everywhere))
+        return found
+
+    monkeypatch.setattr(tf, "_round", noted)
+    rules, lengths, symbols = tf.re_pair(ids, 900)
+    assert np.array_equal(tf.expand(symbols, rules, lengths, 900), ids)
+    assert len(looked_at) > 3 and looked_at[-1][0] < looked_at[-1][1] / 2
