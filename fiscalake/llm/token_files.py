@@ -43,10 +43,10 @@ BLOCK_IDS = 1 << 20
 #: Least times that a pair is replaced.
 LEAST_COUNT = 4
 NEVER = np.iinfo(np.int32).max
-#: Counters that find the frequent pairs before they are counted exactly.
-COUNTERS_LOG2 = 20
 #: Words and bytes of words a worker remembers, and bytes of texts it encodes together.
 MEMORY, MEMORY_BYTES, SLICE_BYTES = 1_500_000, 30_000_000, 2_000_000
+#: Bytes of the longest word that is remembered.
+LONG = 256
 
 _SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
 _LOWER = _SPACES.translate(bytes.maketrans(UPPER.encode(), UPPER.lower().encode()))
@@ -90,17 +90,60 @@ class HashTable:
             left, slot = left[~placed], (slot[~placed] + 1) & self.mask
 
 
+class Growing:
+    """An array with room behind the ``n`` rows that it holds."""
+
+    def __init__(self, dtype: str, *width: int):
+        self.rows, self.n = np.zeros((1024, *width), dtype=dtype), 0
+
+    def put(self, more: np.ndarray) -> None:
+        """Behind the rows held; they are overwritten by the next unless ``n`` is raised."""
+        upto = self.n + len(more)
+        if upto > len(self.rows):
+            rows = np.zeros((max(upto, len(self.rows) * 3 // 2), *self.rows.shape[1:]), dtype=self.rows.dtype)
+            rows[: self.n] = self.rows[: self.n]
+            self.rows = rows
+        self.rows[self.n : upto] = more
+
+    def trim(self) -> None:
+        """Let go of room that one very long text took."""
+        if len(self.rows) > 2 * self.n + (1 << 20):
+            self.rows = self.rows[: self.n + 1024].copy()
+
+
+#: Of 8 bytes the first so many.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def _eights(joined: bytes, starts: np.ndarray, lengths: np.ndarray) -> list[tuple[slice | np.ndarray, np.ndarray]]:
+    """For each k the words of more than 8 k bytes, and their next 8 bytes or what is left, as a number."""
+    whole = np.frombuffer(joined + bytes(16 - len(joined) % 8), dtype="<u8")
+    out, some = [], slice(None)
+    for k in range(0, int(lengths.max()), 8):
+        if k:
+            left = lengths[some]
+            some = np.flatnonzero(left > k) if k == 8 else some[left > k]
+        begin = starts[some] + k
+        shift = ((begin & 7) << 3).astype(np.uint64)
+        begin >>= 3
+        value = whole[begin] >> shift
+        value |= (whole[begin + 1] << np.uint64(1)) << (np.uint64(63) - shift)
+        value &= _FIRST_BYTES[np.minimum(lengths[some] - k, 8)]
+        out.append((some, value))
+    return out
+
+
 class WordCache:
     """Ids of whole texts from the library's ids of their words.
 
     The tokenizer's rules never look across white space, and it puts letters into lower
-    case, so a text's ids are those of its lower-case words. Words are told apart by 64-bit
-    hashes; what is kept for one takes few bytes, so the words met first, which are the
-    common ones, are kept by the million. Their bytes are kept too and compared whenever a hash
-    is met; should two words share one, the texts at hand go through the whole tokenizer. New words are encoded many at a time. Plain ones,
-    letters of ASCII or Latin-1 and then perhaps other signs, need no normaliser; the token
-    that ends a piece is marked in the vocabulary. All others go through the whole
-    tokenizer, one by one.
+    case, so a text's ids are those of its lower-case words. Words are looked up by 64-bit
+    hashes, 8 bytes at a time; what is kept for one takes few bytes, so the words met first,
+    which are the common ones, are kept by the million. Their bytes are kept too and compared
+    whenever a hash is met; a word whose hash belongs to another is encoded each time. New words
+    are encoded many at a time. Plain ones, letters of ASCII or Latin-1 and then perhaps other
+    signs, need no normaliser; the token that ends a piece is marked in the vocabulary. All
+    others go through the whole tokenizer, one by one.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -121,16 +164,11 @@ class WordCache:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
-        draw = np.random.default_rng(11)
-        self.codes = draw.integers(1, 1 << 63, 256, dtype=np.uint64)
-        self.base = draw.integers(1, 1 << 62, dtype=np.uint64) * np.uint64(4) + np.uint64(3)
-        # each word's number in the table; its ids follow those of the numbers before
-        self.table = HashTable(MEMORY.bit_length())
-        self.ids = np.empty(0, dtype="<u4")
-        self.sizes = np.empty(0, dtype=np.int64)
-        # the bytes of each word, and where they begin
-        self.spelled = np.empty(0, dtype=np.uint8)
-        self.begins = np.zeros(1, dtype=np.int64)
+        # each word's number in the table; by number: its first id, its ids, its first 8 bytes, its bytes
+        self.table = HashTable(MEMORY.bit_length() + 1)
+        self.words = Growing("<i4", 4)
+        self.ids = Growing("<u4")
+        self.spelled = Growing("<u8")
 
     def _whole(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [word.decode("utf-8") for word in words]
@@ -161,25 +199,43 @@ class WordCache:
             order.append(chosen)
         return np.concatenate(ids), np.concatenate(sizes), np.concatenate(order)
 
-    def _hashes(self, letters: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """A hash of each word, from its letters and their places in it."""
-        powers = np.cumprod(np.full(int(place.max()) + 1, self.base))
-        mixed = np.add.reduceat(self.codes[letters] * powers[place], first)
-        mixed ^= mixed >> np.uint64(32)
-        return np.maximum(mixed * np.uint64(0x9E3779B97F4A7C15), np.uint64(1))
-
-    def _verified(self, letters, place, first, lengths, at, word, number) -> bool:
-        """Whether all words of one hash are the same bytes, here and in memory."""
-        example = at[word]
-        if (lengths != lengths[example]).any():
-            return False
-        if (letters != letters[np.repeat(first[example].astype(place.dtype), lengths) + place]).any():
-            return False
-        held = np.flatnonzero(number >= 0)
-        begins, sizes = self.begins[number[held]], lengths[at[held]]
-        if (self.begins[number[held] + 1] - begins != sizes).any():
-            return False
-        return bool((_gathered(letters, first[at[held]], sizes) == _gathered(self.spelled, begins, sizes)).all())
+    def _hashes(self, eights: list, lengths: np.ndarray) -> np.ndarray:
+        """A hash of each word, from its length and its bytes."""
+        out = lengths.astype(np.uint64)
+        for some, value in eights:
+            mixed = (out[some] ^ value) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(32)
+            out[some] = mixed
+        return np.maximum(out * np.uint64(0xD6E8FEB86659FD93), np.uint64(1))
+
+    def _held(self, number: np.ndarray, eights: list, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(words by number, whether each has the same bytes as the word at hand)."""
+        rows = self.words.rows.take(np.maximum(number, 0), axis=0)
+        same = (number >= 0) & (rows[:, 3] == lengths)
+        for k, (some, value) in enumerate(eights):
+            same[some] &= self.spelled.rows.take(rows[some, 2] + k, mode="clip") == value
+        return rows, same
+
+    def _remember(self, own: np.ndarray, rows: np.ndarray, hashes: np.ndarray, eights: list, lengths: np.ndarray):
+        """Keep the words ``own``, whose hashes are distinct and not held, if there is room."""
+        sizes = (lengths[own] + 7) >> 3
+        upto = np.cumsum(sizes)
+        n = self.words.n + len(own)
+        if not len(own) or n > MEMORY or 8 * (self.spelled.n + int(upto[-1])) > MEMORY_BYTES:
+            return
+        spelled = np.empty(int(upto[-1]), dtype="<u8")
+        place = np.full(len(lengths), -1, dtype=np.int64)
+        place[own] = upto - sizes
+        for k, (some, value) in enumerate(eights):
+            chosen = np.flatnonzero(place[some] >= 0)
+            spelled[place[some][chosen] + k] = value[chosen]
+        ids = _gathered(self.ids.rows, rows[own, 0].astype(np.int64), rows[own, 1])
+        begins = self.ids.n + np.cumsum(rows[own, 1]) - rows[own, 1]
+        self.words.put(np.stack([begins, rows[own, 1], self.spelled.n + upto - sizes, lengths[own]], axis=1))
+        self.table.add(hashes[own], np.arange(self.words.n, n))
+        self.ids.put(ids)
+        self.spelled.put(spelled)
+        self.words.n, self.ids.n, self.spelled.n = n, self.ids.n + len(ids), self.spelled.n + len(spelled)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = []
@@ -189,37 +245,35 @@ class WordCache:
             parts.append(part.translate(_SPACES if b"<|" in part else _LOWER))
         joined = b" ".join(parts)
         raw = np.frombuffer(joined, dtype=np.uint8)
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], raw != 32, [0]]).astype(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
+        edge = np.concatenate([[-1], np.flatnonzero(raw == 32), [len(raw)]])
+        lengths = np.diff(edge) - 1
+        chosen = np.flatnonzero(lengths)
+        starts, lengths = edge[chosen] + 1, lengths[chosen]
         if not len(starts):
             return [np.empty(0, dtype="<u4") for _ in texts]
-        letters, lengths = raw[raw != 32], ends - starts
-        first = np.cumsum(lengths) - lengths
-        kind = np.int32 if len(letters) < 1 << 31 else np.int64
-        place = np.arange(len(letters), dtype=kind) - np.repeat(first.astype(kind), lengths)
-        seen, at, word = np.unique(self._hashes(letters, place, first), return_index=True, return_inverse=True)
-        number = self.table.get(seen)
-        if not self._verified(letters, place, first, lengths, at, word, number):
-            found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
-            return [np.array(f.ids, dtype="<u4") for f in found]
-        missing = np.flatnonzero(number < 0)
-        ids, sizes = self.ids, self.sizes
+        eights = _eights(joined, starts, np.minimum(lengths, LONG))
+        hashes = self._hashes(eights, lengths)
+        number = self.table.get(hashes)
+        rows, same = self._held(number, eights, lengths)
+        missing, fresh = np.flatnonzero(~same), np.empty(0, dtype=np.int64)
         if len(missing):
-            spans = zip(starts[at[missing]].tolist(), ends[at[missing]].tolist())
-            found, n, order = self._new([joined[a:b] for a, b in spans])
-            number[missing[order]] = len(sizes) + np.arange(len(order))
-            ids, sizes = np.concatenate([ids, found]), np.concatenate([sizes, n])
-            own = at[missing[order]]
-            spelled = _gathered(letters, first[own], lengths[own])
-            if len(sizes) <= MEMORY and len(self.spelled) + len(spelled) <= MEMORY_BYTES:
-                self.table.add(seen[missing], number[missing])
-                self.ids, self.sizes = ids, sizes
-                self.spelled = np.concatenate([self.spelled, spelled])
-                self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths[own])])
-        numbers = number[word]
-        n = sizes[numbers]
-        first, upto = np.cumsum(sizes) - sizes, np.cumsum(n)
-        out = ids[np.repeat(first[numbers] - (upto - n), n) + np.arange(int(upto[-1]))]
+            new: dict[bytes, int] = {}
+            begins = starts[missing]
+            spans = zip(begins.tolist(), (begins + lengths[missing]).tolist())
+            which = np.array([new.setdefault(joined[a:b], len(new)) for a, b in spans])
+            found, n, order = self._new(list(new))
+            made = np.empty((len(new), 2), dtype=np.int64)
+            made[order, 0], made[order, 1] = self.ids.n + np.cumsum(n) - n, n
+            rows[missing, :2] = made[which]
+            self.ids.put(found)
+            first = missing[np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))]
+            first = first[(number[first] < 0) & (lengths[first] <= LONG)]
+            fresh = first[np.unique(hashes[first], return_index=True)[1]]
+        n = rows[:, 1].astype(np.int64)
+        upto = np.cumsum(n)
+        out = _gathered(self.ids.rows, rows[:, 0].astype(np.int64), n)
+        self._remember(fresh, rows, hashes, eights, lengths)
+        self.ids.trim()
         before = np.cumsum([0] + [len(p) + 1 for p in parts])
         cuts = np.concatenate([[0], upto])[np.searchsorted(starts, before)].tolist()
         return [out[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -231,16 +285,16 @@ def _shared_words(tokenizer_json: str) -> WordCache:
     return WordCache(tokenizer_json)
 
 
-def _apart(rank: np.ndarray) -> np.ndarray:
+def _apart(rank: np.ndarray, joined: np.ndarray) -> np.ndarray:
     """Places whose pair is replaced: better ones first, and never two that share a symbol.
 
-    ``rank`` has one number for each pair of neighbours, less is better, ``NEVER`` is none. A
-    place is taken if no neighbour is better. Of a run of equal pairs, which only one repeated
-    symbol makes, every second place is taken.
+    ``rank`` has one number for each place, less is better, ``NEVER`` is none; ``joined`` tells
+    whether the next place is that of the next pair. A place is taken if no neighbour is better.
+    Of a run of equal pairs, which only one repeated symbol makes, every second place is taken.
     """
-    beside = np.full(len(rank) + 2, NEVER, dtype=rank.dtype)
-    beside[1:-1] = rank
-    before, after = beside[:-2], beside[2:]
+    before, after = np.full(len(rank), NEVER, dtype=rank.dtype), np.full(len(rank), NEVER, dtype=rank.dtype)
+    np.copyto(before[1:], rank[:-1], where=joined)
+    np.copyto(after[:-1], rank[1:], where=joined)
     taken = (rank < before) & (rank <= after)
     again = np.flatnonzero((rank == before) & (rank < NEVER))
     if len(again):
@@ -251,27 +305,30 @@ def _apart(rank: np.ndarray) -> np.ndarray:
     return taken
 
 
-def _numbered_pairs(own: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, number of each of ``own``, -1 if rare, counts) of the pairs that occur LEAST_COUNT times."""
-    ordered = np.sort(own)
-    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    n = np.diff(np.concatenate([edge, [len(ordered)]]))
-    often = n >= LEAST_COUNT
-    exact, n = ordered[edge[often]], n[often]
-    if not len(exact):
-        return exact, np.full(len(own), -1, dtype=np.int32), n
-    # by its counter where that belongs to it, else by search
-    held = np.full(1 << COUNTERS_LOG2, -1, dtype=np.int32)
-    held[_slots(exact)] = np.arange(len(exact), dtype=np.int32)
-    number = held[place]
-    wrong = np.flatnonzero((number < 0) | (exact[number] != own))
-    found = np.minimum(np.searchsorted(exact, own[wrong]), len(exact) - 1)
-    number[wrong] = np.where(exact[found] == own[wrong], found, -1)
-    return exact, number, n
-
+def _numbered_pairs(pair: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, pairs, number of each place's pair, counts) of the pairs that occur LEAST_COUNT times.
 
-def _slots(pair: np.ndarray) -> np.ndarray:
-    return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).view(np.int64)
+    Pairs are numbers of ``bits`` bits. They are sorted with their places in the low bits, if these
+    fit: numbers are sorted several times faster than their order is found.
+    """
+    at_bits = np.uint64(len(pair).bit_length())
+    if bits + int(at_bits) <= 64:
+        ordered = pair << at_bits | np.arange(len(pair), dtype=np.uint64)
+        ordered.sort()
+        at = (ordered & np.uint64((1 << int(at_bits)) - 1)).view(np.int64)
+        ordered >>= at_bits
+    else:
+        at = np.argsort(pair, kind="stable")
+        ordered = pair[at]
+    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(at) else at
+    n = np.diff(np.append(edge, len(at)))
+    often = np.flatnonzero(n >= LEAST_COUNT)
+    number = np.full(len(edge), -1, dtype=np.int32)
+    number[often] = np.arange(len(often), dtype=np.int32)
+    by_place = np.empty(len(at), dtype=np.int32)
+    by_place[at] = np.repeat(number, n)
+    places = np.flatnonzero(by_place >= 0)
+    return places, ordered[edge[often]], by_place[places], n[often]
 
 
 def _round(symbols: np.ndarray, closing: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -281,31 +338,29 @@ def _round(symbols: np.ndarray, closing: np.ndarray, at: np.ndarray) -> tuple[np
     Only the places ``at`` are looked at.
     """
     # what closes a document begins no pair: no symbol spans two
-    at = at[~closing[symbols[at]]]
-    pair = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1].astype(np.uint64)
-    slot = _slots(pair)
-    # a pair is at most as frequent as its counter
-    often = np.flatnonzero((np.bincount(slot, minlength=1 << COUNTERS_LOG2) >= LEAST_COUNT)[slot])
+    left = symbols[at]
+    opens = np.flatnonzero(~closing[left])
+    at = at[opens]
+    bits = np.uint64(len(closing).bit_length())
+    pair = left[opens].astype(np.uint64) << bits | symbols[at + 1].astype(np.uint64)
+    often, exact, which, n = _numbered_pairs(pair, 2 * int(bits))
     at = at[often]
-    exact, which, n = _numbered_pairs(pair[often], slot[often])
-    at, which = at[which >= 0], which[which >= 0]
+    joined = np.diff(at) == 1
     order = np.empty(len(exact), dtype=np.int32)
     order[np.argsort(-n, kind="stable")] = np.arange(len(exact), dtype=np.int32)
     pays = np.ones(len(exact), dtype=bool)
     while pays.any():
-        rank = np.full(len(symbols) - 1, NEVER, dtype=np.int32)
-        rank[at] = np.where(pays, order, NEVER)[which]
-        taken = _apart(rank)[at]
-        places, numbers = at[taken], which[taken]
+        taken = np.flatnonzero(_apart(np.where(pays, order, NEVER)[which], joined))
+        numbers = which[taken]
         times = np.bincount(numbers, minlength=len(exact))
         enough = times >= LEAST_COUNT
         if enough.any():
-            taken = enough[numbers]
-            places, numbers = places[taken], numbers[taken]
+            chosen = np.flatnonzero(enough[numbers])
+            places, numbers = at[taken[chosen]], numbers[chosen]
             kept = np.flatnonzero(enough)
             renamed = np.full(len(exact), -1, dtype=np.int64)
             renamed[kept] = np.arange(len(kept))
-            pairs = np.stack([exact[kept] >> np.uint64(32), exact[kept] & np.uint64(0xFFFFFFFF)], axis=1)
+            pairs = np.stack([exact[kept] >> bits, exact[kept] & np.uint64((1 << int(bits)) - 1)], axis=1)
             return places, renamed[numbers], pairs.astype(np.int64), at
         # the best ones overlap themselves too much: the others get their turn
         pays &= times == 0
@@ -318,7 +373,7 @@ def re_pair(ids: np.ndarray, base: int, end_id: int = END_ID) -> tuple[np.ndarra
     Rounds go on until no pair pays for its rule. A pair never gets more frequent once both its
     symbols are there, so places of rare pairs are passed over until a symbol beside them is new.
     """
-    symbols, rules = ids.astype(np.int64), [np.empty((0, 2), dtype=np.int64)]
+    symbols, rules = ids.astype(np.uint32), [np.empty((0, 2), dtype=np.int64)]
     width = np.ones(base, dtype=np.int64)
     closing = np.arange(base) == end_id
     at = np.arange(len(symbols) - 1)
@@ -327,16 +382,26 @@ def re_pair(ids: np.ndarray, base: int, end_id: int = END_ID) -> tuple[np.ndarra
         if not len(places):
             break
         symbols[places] = len(width) + numbers
-        looked_at = np.zeros(len(symbols), dtype=bool)
-        looked_at[frequent] = looked_at[places] = looked_at[places[places > 0] - 1] = True
         keep = np.ones(len(symbols), dtype=bool)
         keep[places + 1] = False
+        at = _looked_at(keep, places, frequent)
         symbols = symbols[keep]
-        at = np.flatnonzero(looked_at[keep][:-1])
         rules.append(pairs)
         width = np.concatenate([width, width[pairs].sum(axis=1)])
         closing = np.concatenate([closing, closing[pairs[:, 1]]])
-    return np.concatenate(rules), width[base:], symbols
+    return np.concatenate(rules), width[base:], symbols.astype(np.int64)
+
+
+def _looked_at(keep: np.ndarray, places: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Places of frequent pairs, new symbols and those before them, among the symbols kept, but the last."""
+    if len(frequent) > len(keep) // 32:
+        looked_at = np.zeros(len(keep), dtype=bool)
+        looked_at[frequent] = looked_at[places] = looked_at[places[places > 0] - 1] = True
+        return np.flatnonzero(looked_at[keep][:-1])
+    looked_at = np.unique(np.concatenate([frequent, places, places[places > 0] - 1]))
+    looked_at = looked_at[keep[looked_at]]
+    looked_at -= np.searchsorted(places, looked_at)
+    return looked_at[looked_at < len(keep) - len(places) - 1]
 
 
 def _gathered(table: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:

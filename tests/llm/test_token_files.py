@@ -109,3 +109,77 @@ def test_rounds_pass_over_places_of_rare_pairs(monkeypatch):
     rules, lengths, symbols = tf.re_pair(ids, 900)
     assert np.array_equal(tf.expand(symbols, rules, lengths, 900), ids)
     assert len(looked_at) > 3 and looked_at[-1][0] < looked_at[-1][1] / 2
+
+
+def test_rounds_work_on_the_places_looked_at_alone(monkeypatch):
+    draw = np.random.default_rng(6)
+    words = [draw.integers(3, 900, draw.integers(2, 9)) for _ in range(300)]
+    ids = np.concatenate([words[k] for k in draw.integers(0, 300, 4000)] + [draw.integers(3, 900, 5000)])
+    compared, apart = [], tf._apart
+    monkeypatch.setattr(tf, "_apart", lambda rank, *a: compared.append(len(rank)) or apart(rank, *a))
+    _, _, symbols = tf.re_pair(ids, 900)
+    assert len(compared) > 3 and compared[-1] < len(symbols) / 4
+
+
+def test_pairs_too_wide_to_be_sorted_with_their_places():
+    draw = np.random.default_rng(7)
+    narrow = np.concatenate([draw.integers(3, 60, 400)] * 9)
+    rules, _, symbols = spelled_out(narrow, 1 << 8)
+    wide_rules, _, wide_symbols = spelled_out(narrow, 1 << 27)
+    moved = (1 << 27) - (1 << 8)
+    assert np.array_equal(np.where(rules < 1 << 8, rules, rules + moved), wide_rules)
+    assert np.array_equal(np.where(symbols < 1 << 8, symbols, symbols + moved), wide_symbols)
+
+
+class Noted:
+    """A tokenizer that notes the texts it encodes."""
+
+    def __init__(self, tokenizer, seen):
+        self.tokenizer, self.seen = tokenizer, seen
+
+    def encode_batch(self, texts, **a):
+        self.seen.extend(texts)
+        return self.tokenizer.encode_batch(texts, **a)
+
+    def encode_batch_fast(self, texts, **a):
+        self.seen.extend(w for text in texts for w in text.split())
+        return self.tokenizer.encode_batch_fast(texts, **a)
+
+
+def noted_cache():
+    with open(PATH, encoding="utf-8") as file:
+        words = tf.WordCache(file.read())
+    seen = []
+    words.tokenizer, words.plain = Noted(words.tokenizer, seen), Noted(words.plain, seen)
+    return words, seen
+
+
+def test_each_word_is_encoded_once_and_its_hash_may_be_shared(monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    long = "x" * 300 + "y"
+    texts = ["one two\x00 three one", "two " + long + " Four! eightchr eightchrs", "ÉTÉ two two\x00\x00", "日本 " + long, None]
+    right = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    words, seen = noted_cache()
+    assert [x.tolist() for x in words.encode(texts)] == right and len(seen) == len(set(seen))
+    seen.clear()
+    assert [x.tolist() for x in words.encode(texts[::-1])] == right[::-1]
+    assert seen == [long]  # longer than what is remembered
+    whole = tf.WordCache._hashes
+    monkeypatch.setattr(tf.WordCache, "_hashes", lambda self, *a: whole(self, *a) % np.uint64(2) + np.uint64(1))
+    words, seen = noted_cache()
+    for _ in range(3):
+        assert [x.tolist() for x in words.encode(texts)] == right
+    assert not set(seen) & set(t for t in texts if t and " " in t)  # words alone, never their texts
+
+
+def test_full_memory_changes_no_ids(monkeypatch, prose):
+    library = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(tf, "MEMORY", 50)
+    words, _ = noted_cache()
+    for k in range(8):
+        texts = [prose(10 * k + j, 40) for j in range(4)] + ["x" * 255, "x" * 256, "x" * 257, "a" * 7 + " " + "a" * 9]
+        assert [x.tolist() for x in words.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert words.words.n <= 50
+    many = " ".join(map(str, range(400_000)))
+    assert words.encode([many])[0].tolist() == library.encode(many, add_special_tokens=False).ids
+    assert words.ids.rows.nbytes < 100_000 and words.encode(["12 x"])[0].tolist() == library.encode("12 x").ids
