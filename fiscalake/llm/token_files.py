@@ -313,7 +313,8 @@ def _numbered_pairs(pair: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray
     """
     at_bits = np.uint64(len(pair).bit_length())
     if bits + int(at_bits) <= 64:
-        ordered = pair << at_bits | np.arange(len(pair), dtype=np.uint64)
+        ordered = pair << at_bits
+        ordered |= np.arange(len(pair), dtype=np.uint64)
         ordered.sort()
         at = (ordered & np.uint64((1 << int(at_bits)) - 1)).view(np.int64)
         ordered >>= at_bits
@@ -342,7 +343,9 @@ def _round(symbols: np.ndarray, closing: np.ndarray, at: np.ndarray) -> tuple[np
     opens = np.flatnonzero(~closing[left])
     at = at[opens]
     bits = np.uint64(len(closing).bit_length())
-    pair = left[opens].astype(np.uint64) << bits | symbols[at + 1].astype(np.uint64)
+    pair = left[opens].astype(np.uint64)
+    pair <<= bits
+    pair |= symbols[1:][at]
     often, exact, which, n = _numbered_pairs(pair, 2 * int(bits))
     at = at[often]
     joined = np.diff(at) == 1
@@ -393,12 +396,16 @@ def re_pair(ids: np.ndarray, base: int, end_id: int = END_ID) -> tuple[np.ndarra
 
 
 def _looked_at(keep: np.ndarray, places: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Places of frequent pairs, new symbols and those before them, among the symbols kept, but the last."""
+    """Places of frequent pairs and before new symbols, among the symbols kept, but the last.
+
+    New symbols are at places of frequent pairs; all places ascend.
+    """
+    before = places[int(places[0] == 0) :] - 1
     if len(frequent) > len(keep) // 32:
         looked_at = np.zeros(len(keep), dtype=bool)
-        looked_at[frequent] = looked_at[places] = looked_at[places[places > 0] - 1] = True
+        looked_at[frequent] = looked_at[before] = True
         return np.flatnonzero(looked_at[keep][:-1])
-    looked_at = np.unique(np.concatenate([frequent, places, places[places > 0] - 1]))
+    looked_at = np.unique(np.concatenate([frequent, before]))
     looked_at = looked_at[keep[looked_at]]
     looked_at -= np.searchsorted(places, looked_at)
     return looked_at[looked_at < len(keep) - len(places) - 1]
